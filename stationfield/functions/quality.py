@@ -20,6 +20,7 @@ PENALTY = {
 }
 CRITICAL_FIELDS = ("temperature", "precipitation", "relative_humidity")
 COMPLETENESS_BASE = 0.7
+COMPLETENESS_BONUS = 0.3
 IDEAL_STATIONS = 3.0
 
 
@@ -55,7 +56,7 @@ class Ranges:
             missing = reduce(lambda a, b: a + b, [F.col(f).isNull().cast("int") for f in critical])
             completeness = F.lit(1.0) - missing / F.lit(float(len(critical)))
             factors.append(
-                F.lit(COMPLETENESS_BASE) + F.lit(1.0 - COMPLETENESS_BASE) * completeness
+                F.lit(COMPLETENESS_BASE) + F.lit(COMPLETENESS_BONUS) * completeness
             )
         return reduce(mul, factors, F.lit(1.0))
 
@@ -100,7 +101,7 @@ def register_sql_functions(spark: SparkSession, ranges: Ranges = DEFAULT_RANGES)
         )
     missing = " + ".join(f"IF({f} IS NULL, 1, 0)" for f in CRITICAL_FIELDS)
     factors.append(
-        f"({COMPLETENESS_BASE}D + {1.0 - COMPLETENESS_BASE}D"
+        f"({COMPLETENESS_BASE}D + {COMPLETENESS_BONUS}D"
         f" * (1D - ({missing}) / {float(len(CRITICAL_FIELDS))}D))"
     )
     spark.sql(

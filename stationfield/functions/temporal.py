@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+def utc(moment: datetime) -> Column:
+    """A timestamp literal. Naive datetimes are UTC, as is the session time zone."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(UTC)
+    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+
+def between(ts: Column, bounds: tuple[datetime, datetime]) -> Column:
+    """Half-open range check that reaches the file scan."""
+    return (ts >= utc(bounds[0])) & (ts < utc(bounds[1]))
+
+
 def parse_utc(text: Column) -> Column:
     """ISO text to a timestamp of whole seconds; null where it cannot be parsed."""
     return F.date_trunc("second", F.try_to_timestamp(text))
@@ -50,5 +62,5 @@ def calendar_horizon(as_of: datetime, days_ahead: int = 7) -> tuple[datetime, da
 def hour_sequence(start: datetime, stop: datetime) -> Column:
     """Array of the whole hours in the half-open range."""
     return F.sequence(
-        F.lit(start), F.lit(stop) - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR")
+        utc(start), utc(stop) - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR")
     )
