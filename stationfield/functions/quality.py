@@ -41,9 +41,15 @@ class Ranges:
         value = F.col(field) if value is None else value
         return F.coalesce(value.between(F.lit(low), F.lit(high)), F.lit(not self.missing_is_invalid))
 
-    def row_valid(self, columns: list[str]) -> Column:
-        """All checks over the fields that exist."""
-        return reduce(and_, [self.check(f) for f in PENALTY if f in columns], F.lit(True))
+    def row_valid(self, columns: list[str], digits: int | None = None) -> Column:
+        """All checks over the fields that exist. For computed values `digits` rounds off the
+        error of the last bits, which would push a mean of readings at a bound out of range."""
+        checks = [
+            self.check(f, None if digits is None else F.round(f, digits))
+            for f in PENALTY
+            if f in columns
+        ]
+        return reduce(and_, checks, F.lit(True))
 
     def score(self, columns: list[str]) -> Column:
         factors = [

@@ -19,6 +19,8 @@ from stationfield.session import BROADCAST_ROWS, fits
 ISSUE = "forecast_created_at"
 # Places that share a block are interpolated by the same task; blocks are this many degrees wide.
 BLOCK_DEGREES = 1.0
+# Places of a weighted mean that are free of rounding error.
+MEAN_DIGITS = 9
 # With no more distinct conditions than this they are coded as small numbers.
 VOCABULARY_LIMIT = 4096
 
@@ -163,4 +165,4 @@ def _finish(
         "plz", "timestamp", *issue, *values, "condition",
         rows.alias("num_stations"), score.alias("data_quality_score"),
     )
-    return shaped.withColumn("is_validated", ranges.row_valid(list(fields)))
+    return shaped.withColumn("is_validated", ranges.row_valid(list(fields), MEAN_DIGITS))

@@ -58,9 +58,9 @@ PENALTY = {
 }
 
 
-def _ok(field: str, missing: str = "TRUE") -> str:
+def _ok(field: str, missing: str = "TRUE", value: str | None = None) -> str:
     low, high, _ = PENALTY[field]
-    return f"coalesce({field} BETWEEN {low}.0E0 AND {high}.0E0, {missing})"
+    return f"coalesce({value or field} BETWEEN {low}.0E0 AND {high}.0E0, {missing})"
 
 
 def _valid(missing: str = "TRUE") -> str:
@@ -117,7 +117,9 @@ def _interpolated(
     )
     issue = "max(forecast_created_at) AS forecast_created_at," if spec == "fc" else ""
     carried = "forecast_created_at," if spec == "fc" else ""
-    checked = " AND ".join(_ok(f, missing) for f in PENALTY if f in fields) or "TRUE"
+    checked = " AND ".join(
+        _ok(f, missing, f"round({f}, 9)") for f in PENALTY if f in fields
+    )
     return f"""joined AS (SELECT r.*, p.plz, 1.0E0 / (p.distance_km + 0.1E0) AS w
   FROM readings r JOIN pairs p ON r.source_id = p.source_id),
 means AS (SELECT plz, timestamp, {issue}
