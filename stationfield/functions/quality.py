@@ -35,20 +35,16 @@ class Ranges:
     pressure_msl: tuple[float, float] = (800.0, 1100.0)
     missing_is_invalid: bool = False
 
-    def check(self, field: str, value: Column | None = None) -> Column:
+    def check(self, field: str, slack: float = 0.0) -> Column:
         """True when the value lies in range; a missing value is valid unless told otherwise."""
         low, high = getattr(self, field)
-        value = F.col(field) if value is None else value
-        return F.coalesce(value.between(F.lit(low), F.lit(high)), F.lit(not self.missing_is_invalid))
-
-    def row_valid(self, columns: list[str], digits: int | None = None) -> Column:
-        """All checks over the fields that exist. For computed values `digits` rounds off the
-        error of the last bits, which would push a mean of readings at a bound out of range."""
-        checks = [
-            self.check(f, None if digits is None else F.round(f, digits))
-            for f in PENALTY
-            if f in columns
-        ]
+        inside = F.col(field).between(F.lit(low - slack), F.lit(high + slack))
+        return F.coalesce(inside, F.lit(not self.missing_is_invalid))
+
+    def row_valid(self, columns: list[str], slack: float = 0.0) -> Column:
+        """All checks over the fields that exist. Computed values need some `slack`: the error of
+        the last bits would push a mean of readings at a bound out of range."""
+        checks = [self.check(f, slack) for f in PENALTY if f in columns]
         return reduce(and_, checks, F.lit(True))
 
     def score(self, columns: list[str]) -> Column:

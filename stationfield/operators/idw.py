@@ -19,10 +19,10 @@ from stationfield.session import BROADCAST_ROWS, fits
 ISSUE = "forecast_created_at"
 # Places that share a block are interpolated by the same task; blocks are this many degrees wide.
 BLOCK_DEGREES = 1.0
-# Places of a weighted mean that are free of rounding error.
-MEAN_DIGITS = 9
-# With no more distinct conditions than this they are coded as small numbers.
-VOCABULARY_LIMIT = 4096
+# Beyond the rounding error of a weighted mean.
+MEAN_SLACK = 1e-9
+# With no more distinct conditions than this, each has its votes in a column of its own.
+VOCABULARY_LIMIT = 32
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
@@ -51,46 +51,67 @@ def condition_vocabulary(raw: DataFrame, limit: int = VOCABULARY_LIMIT) -> list[
     return sorted(row["condition"] for row in found) if len(found) <= limit else None
 
 
-def _codes(readings: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    terms = F.array(*[F.lit(v) for v in vocabulary]) if vocabulary else F.expr("array('')")
-    return readings.sparkSession.range(1).select(F.posexplode(terms).alias("_code", "condition"))
+def _votes(vocabulary: Sequence[str]) -> list[str]:
+    return [f"votes_{i}" for i in range(len(vocabulary))]
 
 
-def station_sums(readings: DataFrame, fields: Sequence[str], vote: str = "condition") -> DataFrame:
-    """Per station, time and condition: sum and count of each field, summed quality, row count."""
+def _winner(vocabulary: Sequence[str]) -> Column:
+    """The condition with the most votes, the first in the vocabulary of a tie."""
+    size = len(vocabulary)
+    ballots = [
+        F.when(F.col(v) > 0, F.col(v) * size + (size - 1 - i))
+        for i, v in enumerate(_votes(vocabulary))
+    ]
+    # `greatest` skips nulls and wants two arguments.
+    top = F.greatest(*ballots, F.lit(None).cast("bigint"), F.lit(None).cast("bigint"))
+    words = F.array(*[F.lit(w) for w in vocabulary]) if size else F.expr("array('')")
+    return F.get(words, F.lit(size - 1) - F.pmod(top, F.lit(max(size, 1))))
+
+
+def station_sums(
+    readings: DataFrame, fields: Sequence[str], vocabulary: Sequence[str] | None = None
+) -> DataFrame:
+    """Per station and time: sum and count of each field, summed quality and row count, and the
+    votes for each condition of the vocabulary. Without one the condition is part of the key."""
     sums = [F.sum(f).alias(f"sum_{f}") for f in fields]
     counts = [F.count(f).cast("double").alias(f"n_{f}") for f in fields]
     issue = [F.max(ISSUE).alias(ISSUE)] if ISSUE in readings.columns else []
     quality = F.sum("quality_score") if "quality_score" in readings.columns else F.count(F.lit(1))
-    return readings.groupBy("source_id", "timestamp", vote).agg(
-        *sums, *counts, quality.cast("double").alias("quality"),
+    key, votes = ["source_id", "timestamp"], []
+    if vocabulary is None:
+        key.append("condition")
+    else:
+        votes = [
+            F.count(F.when(F.col("condition") == word, F.lit(1))).alias(name)
+            for word, name in zip(vocabulary, _votes(vocabulary), strict=True)
+        ]
+    return readings.groupBy(*key).agg(
+        *sums, *counts, *votes, quality.cast("double").alias("quality"),
         F.count(F.lit(1)).alias("rows"), *issue,
     )
 
 
 def _combine(
-    weighted: DataFrame, fields: Sequence[str], key: Sequence[str], vote: str
+    weighted: DataFrame,
+    fields: Sequence[str],
+    key: Sequence[str],
+    vocabulary: Sequence[str] | None,
 ) -> DataFrame:
-    """Weighted sums per place and time. The inner grouping counts each condition; the outer one
-    picks the most frequent and adds the rest up.
+    """Weighted sums and the most frequent condition per place and time.
 
-    Coded conditions are voted on as one number, count first and then the smallest code, which
-    keeps the grouping a hash aggregate; plain ones need a struct and a sort.
+    With a vocabulary this is one hash aggregate over numbers. Without, an inner grouping counts
+    each condition and an outer one picks the most frequent, which takes a sort.
     """
+    names = [*[f"{kind}_{f}" for f in fields for kind in ("sum", "n")], "quality", "rows"]
     issue = [F.max(ISSUE).alias(ISSUE)] if ISSUE in weighted.columns else []
-    totals = [
-        F.sum(c).alias(c)
-        for f in fields
-        for c in (f"sum_{f}", f"n_{f}")
-    ] + [F.sum("quality").alias("quality"), F.sum("rows").alias("rows")]
-    by_condition = weighted.groupBy(*key, vote).agg(*totals, *issue)
-    known = F.col(vote).isNotNull()
-    if vote == "_code":
-        ballot = F.col("rows") * VOCABULARY_LIMIT + (VOCABULARY_LIMIT - 1 - F.col("_code"))
-        winner = VOCABULARY_LIMIT - 1 - F.pmod(F.max(F.when(known, ballot)), F.lit(VOCABULARY_LIMIT))
-        return by_condition.groupBy(*key).agg(*totals, *issue, winner.cast("int").alias("_code"))
+    if vocabulary is not None:
+        summed = [F.sum(c).alias(c) for c in [*names, *_votes(vocabulary)]]
+        combined = weighted.groupBy(*key).agg(*summed, *issue)
+        return combined.withColumn("condition", _winner(vocabulary))
+    totals = [F.sum(c).alias(c) for c in names]
+    by_condition = weighted.groupBy(*key, "condition").agg(*totals, *issue)
     ballot = F.struct(-F.col("rows"), F.col("condition"))
-    winner = F.min(F.when(known, ballot))["condition"]
+    winner = F.min(F.when(F.col("condition").isNotNull(), ballot))["condition"]
     return by_condition.groupBy(*key).agg(*totals, *issue, winner.alias("condition"))
 
 
@@ -111,12 +132,7 @@ def interpolate(
     given, holds every condition that occurs (see `condition_vocabulary`).
     """
     present = _present(readings, fields)
-    vote = "condition"
-    if vocabulary is not None:
-        vote = "_code"
-        codes = F.broadcast(_codes(readings, vocabulary))
-        readings = readings.join(codes, "condition", "left").drop("condition")
-    sums = station_sums(readings, present, vote)
+    sums = station_sums(readings, present, vocabulary)
     if fits(pairs, broadcast_rows):
         spread, key = _by_block(sums, pairs)
     else:
@@ -124,11 +140,9 @@ def interpolate(
         key = ["plz", "timestamp"]
     weight = idw_weight(F.col("distance_km"))
     names = [f"{kind}_{f}" for f in present for kind in ("sum", "n")]
-    carried = [*key, vote, "quality", "rows"] + ([ISSUE] if ISSUE in sums.columns else [])
-    weighted = spread.select(*carried, *[(F.col(c) * weight).alias(c) for c in names])
-    combined = _combine(weighted, present, key, vote)
-    if vocabulary is not None:
-        combined = combined.join(codes, "_code", "left")
+    carried = [c for c in sums.columns if c not in [*names, "source_id", "timestamp"]]
+    weighted = spread.select(*key, *carried, *[(F.col(c) * weight).alias(c) for c in names])
+    combined = _combine(weighted, present, key, vocabulary)
     return _finish(combined, fields, present, min_stations, ranges)
 
 
@@ -136,15 +150,14 @@ def _by_block(sums: DataFrame, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
     """Move the station sums, not their products with the places: each sum goes to the blocks its
     station serves, and everything after that stays in the task of its (block, time). The pairs
     are broadcast; their checked number also bounds what one (block, time) can hold."""
-    placed = pairs.select(
-        "plz", "source_id", "distance_km",
-        F.floor(F.col("centroid_lat") / BLOCK_DEGREES).cast("int").alias("_row"),
-        F.floor(F.col("centroid_lon") / BLOCK_DEGREES).cast("int").alias("_col"),
-    )
-    served = placed.select("source_id", "_row", "_col").distinct()
-    moved = sums.join(F.broadcast(served), "source_id").repartition("_row", "_col", "timestamp")
-    spread = moved.join(F.broadcast(placed), ["source_id", "_row", "_col"])
-    return spread, ["plz", "timestamp", "_row", "_col"]
+    across = F.floor((F.col("centroid_lon") + 180.0) / BLOCK_DEGREES)
+    down = F.floor((F.col("centroid_lat") + 90.0) / BLOCK_DEGREES)
+    block = (down * F.ceil(F.lit(360.0) / BLOCK_DEGREES) + across).cast("int")
+    placed = pairs.select("plz", "source_id", "distance_km", block.alias("_block"))
+    served = placed.select("source_id", "_block").distinct()
+    moved = sums.join(F.broadcast(served), "source_id").repartition("_block", "timestamp")
+    spread = moved.join(F.broadcast(placed), ["source_id", "_block"])
+    return spread, ["plz", "timestamp", "_block"]
 
 
 def _finish(
@@ -165,4 +178,4 @@ def _finish(
         "plz", "timestamp", *issue, *values, "condition",
         rows.alias("num_stations"), score.alias("data_quality_score"),
     )
-    return shaped.withColumn("is_validated", ranges.row_valid(list(fields), MEAN_DIGITS))
+    return shaped.withColumn("is_validated", ranges.row_valid(list(fields), MEAN_SLACK))

@@ -23,8 +23,8 @@ def _ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def _r(expr: str, name: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0E0 AS {name}"
+def _r(expr: str, name: str) -> str:
+    return f"round_even(({expr}) * 1.0E6, 0) / 1.0E6 + 0.0E0 AS {name}"
 
 
 PLACES = f"pc AS ({duckdb_text('postal_codes')})"
@@ -58,9 +58,10 @@ PENALTY = {
 }
 
 
-def _ok(field: str, missing: str = "TRUE", value: str | None = None) -> str:
+def _ok(field: str, missing: str = "TRUE", slack: str = "") -> str:
     low, high, _ = PENALTY[field]
-    return f"coalesce({value or field} BETWEEN {low}.0E0 AND {high}.0E0, {missing})"
+    bounds = f"{low}.0E0 - {slack} AND {high}.0E0 + {slack}" if slack else f"{low}.0E0 AND {high}.0E0"
+    return f"coalesce({field} BETWEEN {bounds}, {missing})"
 
 
 def _valid(missing: str = "TRUE") -> str:
@@ -118,7 +119,7 @@ def _interpolated(
     issue = "max(forecast_created_at) AS forecast_created_at," if spec == "fc" else ""
     carried = "forecast_created_at," if spec == "fc" else ""
     checked = " AND ".join(
-        _ok(f, missing, f"round({f}, 9)") for f in PENALTY if f in fields
+        _ok(f, missing, "1.0E-9") for f in PENALTY if f in fields
     )
     return f"""joined AS (SELECT r.*, p.plz, 1.0E0 / (p.distance_km + 0.1E0) AS w
   FROM readings r JOIN pairs p ON r.source_id = p.source_id),

@@ -47,7 +47,7 @@ def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places, without negative zero."""
     return df.select(
         *[
-            (F.round(f.name, 6) + F.lit(0.0)).alias(f.name)
+            (F.rint(F.col(f.name) * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)).alias(f.name)
             if isinstance(f.dataType, DoubleType)
             else F.col(f.name)
             for f in df.schema.fields

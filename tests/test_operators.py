@@ -118,16 +118,16 @@ def pairs_of(spark, rows):
 
 
 WAYS = [
-    pytest.param({"broadcast_rows": 1000, "coded": True}, id="aligned, coded"),
-    pytest.param({"broadcast_rows": 1000, "coded": False}, id="aligned, plain"),
-    pytest.param({"broadcast_rows": 0, "coded": True}, id="shuffled, coded"),
-    pytest.param({"broadcast_rows": 0, "coded": False}, id="shuffled, plain"),
+    pytest.param({"broadcast_rows": 1000, "counted": True}, id="aligned, counted"),
+    pytest.param({"broadcast_rows": 1000, "counted": False}, id="aligned, plain"),
+    pytest.param({"broadcast_rows": 0, "counted": True}, id="shuffled, counted"),
+    pytest.param({"broadcast_rows": 0, "counted": False}, id="shuffled, plain"),
 ]
 
 
 def run(spark, readings, pairs, way, minimum=1):
     df = spark.createDataFrame(readings, READING)
-    words = idw.condition_vocabulary(df) if way["coded"] else None
+    words = idw.condition_vocabulary(df) if way["counted"] else None
     out = idw.interpolate(
         df, pairs, ["value", "absent"], minimum, Ranges(), words, way["broadcast_rows"]
     )
@@ -195,7 +195,7 @@ def test_one_station_holds_most_readings(spark):
     assert {r["num_stations"] for r in out} == {30_000}
 
 
-def test_too_many_conditions_are_not_coded(spark):
+def test_too_many_conditions_are_not_counted(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("condition"))
     assert idw.condition_vocabulary(df, 9) is None
     assert idw.condition_vocabulary(df, 10) == [str(i) for i in range(10)]
