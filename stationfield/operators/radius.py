@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from stationfield.functions.geo import Grid, great_circle_km
 from stationfield.operators.versions import first_seen
-from stationfield.session import BROADCAST_ROWS, fits
+from stationfield.session import BROADCAST_ROWS, fits, materialize
 
 CELL = ["_band", "_column"]
 # A cell with more places or stations than this is cut into blocks, so that no task compares more
 # than BLOCK x BLOCK of them.
 BLOCK = 4096
+# Stations that may be broadcast; a row is about 50 bytes.
+STATION_ROWS = BROADCAST_ROWS // 10
+# Places are ranked ring by ring, so that no task sorts all stations of a crowded place.
+RING_KM = 0.25
 
 
 def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -37,7 +41,9 @@ def _cut_hot_cells(
     places: DataFrame, stations: DataFrame, place_id: Column, station_id: Column
 ) -> tuple[DataFrame, DataFrame]:
     """Block join: a hot cell's places are cut `p` ways and its stations `s` ways by a hash of
-    their ids, and each part of one side meets each part of the other in a task of its own."""
+    their ids, and each part of one side meets each part of the other in a task of its own. The
+    list of hot cells is short (at most one per BLOCK rows) and is broadcast where it fits, so
+    that looking a cell up does not gather its rows."""
     crowded = (
         places.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("_p"))
         .join(
@@ -45,6 +51,9 @@ def _cut_hot_cells(
         )
         .where("_p > 1 OR _s > 1")
     )
+    crowded = materialize(crowded, "crowded")
+    if fits(crowded):
+        crowded = F.broadcast(crowded)
 
     def cut(df: DataFrame, own: str, other: str, row_id: Column) -> DataFrame:
         ways = F.coalesce(F.col(own), F.lit(1))
@@ -63,21 +72,23 @@ def radius_join(
     places: DataFrame,
     stations: DataFrame,
     radius_km: float = 10.0,
-    broadcast_rows: int = BROADCAST_ROWS // 10,
+    few_stations: bool | None = None,
 ) -> DataFrame:
     """Every (plz, source_id) at most `radius_km` apart, with `distance_km`.
 
     `places` has plz, centroid_lat, centroid_lon and `stations` has source_id, lat, lon; further
     columns are carried along. Each place looks into the grid cells its circle touches, which
     makes this an equi join. A station side of few rows is broadcast; a larger one is shuffled by
-    cell, with hot cells cut into blocks.
+    cell, with hot cells cut into blocks. The rows are counted unless `few_stations` tells.
     """
     grid = Grid(radius_km)
     places = _located(places, "centroid_lat", "centroid_lon")
     stations = _located(stations, "lat", "lon")
     probe = _in_every_cell_around(places, grid, "centroid_lat", "centroid_lon")
     build = _in_own_cell(stations, grid, "lat", "lon")
-    if fits(stations, broadcast_rows):
+    if few_stations is None:
+        few_stations = fits(stations, STATION_ROWS)
+    if few_stations:
         candidates = probe.join(F.broadcast(build), CELL)
     else:
         probe, build = _cut_hot_cells(probe, build, F.col("plz"), F.col("source_id"))
@@ -92,10 +103,24 @@ def radius_join(
     )
 
 
-def rank_by_distance(pairs: DataFrame) -> DataFrame:
-    """Adds `distance_rank`, 1 for the nearest station of a place."""
-    nearest = Window.partitionBy("plz").orderBy("distance_km", "source_id")
-    return pairs.withColumn("distance_rank", F.row_number().over(nearest))
+def rank_by_distance(pairs: DataFrame, ring_km: float = RING_KM) -> DataFrame:
+    """Adds `distance_rank`, 1 for the nearest station of a place.
+
+    A station's rank is its rank in its ring of distances plus the stations of all inner rings.
+    """
+    ringed = pairs.withColumn("_ring", F.floor(F.col("distance_km") / F.lit(ring_km)))
+    inner = Window.partitionBy("plz").orderBy("_ring").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ringed.groupBy("plz", "_ring").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(inner), F.lit(0))).drop("_n")
+    )
+    within = Window.partitionBy("plz", "_ring").orderBy("distance_km", "source_id")
+    return (
+        ringed.withColumn("_place", F.row_number().over(within))
+        .join(before, ["plz", "_ring"])
+        .withColumn("distance_rank", F.col("_before") + F.col("_place"))
+        .drop("_ring", "_before", "_place")
+    )
 
 
 def discover_stations(

@@ -20,8 +20,8 @@ from stationfield.functions.quality import (
 )
 from stationfield.operators import versions
 from stationfield.operators.idw import condition_vocabulary, interpolate
-from stationfield.operators.radius import radius_join
-from stationfield.session import materialize
+from stationfield.operators.radius import STATION_ROWS, radius_join
+from stationfield.session import fits, materialize
 
 
 @dataclass(frozen=True)
@@ -105,10 +105,13 @@ def station_pairs(
     places = current_places(
         postal_codes.select("plz", "centroid_lat", "centroid_lon", "ingested_at"), prefixes
     ).select("plz", "centroid_lat", "centroid_lon")
-    located = current_stations(
-        stations.select("id", "observation_type", "lat", "lon", "ingested_at"), station_type
-    ).select(F.col("id").alias("source_id"), "lat", "lon")
-    return radius_join(places, located, radius_km).select(
+    stored = stations.select("id", "observation_type", "lat", "lon", "ingested_at")
+    located = current_stations(stored, station_type).select(
+        F.col("id").alias("source_id"), "lat", "lon"
+    )
+    # Counting the stored versions is cheaper than ranking them, and bounds the stations.
+    few = fits(stored.where(F.col("observation_type") == station_type), STATION_ROWS)
+    return radius_join(places, located, radius_km, few or None).select(
         "plz", "source_id", "distance_km", "centroid_lat", "centroid_lon"
     )
 

@@ -7,7 +7,10 @@ text runs unchanged on Spark and DuckDB (but for `{thrice}`, which repeats each
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _PLACE = """CAST(10000 + c_custkey AS STRING) AS plz, '' AS note,
   51.0E0 + ((c_custkey*6101+17) % 10037) / 10037.0E0 * 3.0E0 AS centroid_lat,
@@ -98,12 +101,22 @@ FIXTURES = {
 }
 
 
+@lru_cache
+def _schema(path: str) -> StructType:
+    """Read from the file once; later reads of the same table plan without a look at it."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table; the session time zone is set to UTC, which the text relies on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "events")}
     text = FIXTURES[name].replace("{thrice}", THRICE_SPARK)
-    return spark.sql(text, **{t: df for t, df in read.items() if "{" + t + "}" in text})
+    paths = {
+        t: f"{sf_dir}/{t}.parquet" for t in ("customer", "events") if "{" + t + "}" in text
+    }
+    return spark.sql(
+        text, **{t: spark.read.schema(_schema(p)).parquet(p) for t, p in paths.items()}
+    )
 
 
 def duckdb_text(name: str) -> str:

@@ -45,8 +45,8 @@ REGIONS = {
 
 
 @pytest.mark.parametrize("region", REGIONS)
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_radius_join_equals_brute_force(spark, region, broadcast_rows, monkeypatch):
+@pytest.mark.parametrize("few_stations", [None, False])
+def test_radius_join_equals_brute_force(spark, region, few_stations, monkeypatch):
     south, north, west, east, r = REGIONS[region]
     rng = random.Random(region)
 
@@ -59,7 +59,7 @@ def test_radius_join_equals_brute_force(spark, region, broadcast_rows, monkeypat
     monkeypatch.setattr(radius, "BLOCK", 3)  # every busy cell is cut
     p = places(spark, [(str(i), lat, lon) for i, lat, lon in points(70)])
     s = stations(spark, points(60))
-    got = ids(radius.radius_join(p, s, r, broadcast_rows))
+    got = ids(radius.radius_join(p, s, r, few_stations))
     assert got == brute_force(p, s, r)
     assert got
 
@@ -79,7 +79,7 @@ def test_hot_cell_is_cut(spark, monkeypatch):
     monkeypatch.setattr(radius, "BLOCK", 10)
     p = places(spark, [(str(i), 50.0, 10.0) for i in range(95)] + [("far", 10.0, 10.0)])
     s = stations(spark, [(i, 50.0, 10.0) for i in range(45)] + [(99, 10.0, 10.0)])
-    got = ids(radius.radius_join(p, s, 10.0, broadcast_rows=0))
+    got = ids(radius.radius_join(p, s, 10.0, few_stations=False))
     assert len(got) == 95 * 45 + 1
 
 
@@ -101,6 +101,16 @@ def test_rank_and_discovery(spark):
     }
 
 
+def test_ranks_run_on_across_rings(spark):
+    rng = random.Random(3)
+    rows = [(str(i % 3), i, rng.choice([0.1, 0.3, 0.3, rng.uniform(0, 10)])) for i in range(200)]
+    pairs = spark.createDataFrame(rows, "plz string, source_id bigint, distance_km double")
+    got = {(r["plz"], r["source_id"]): r["distance_rank"] for r in radius.rank_by_distance(pairs).collect()}
+    for plz in "012":
+        ordered = sorted((d, s) for p, s, d in rows if p == plz)
+        assert [got[plz, s] for _, s in ordered] == list(range(1, len(ordered) + 1))
+
+
 READING = "source_id bigint, timestamp timestamp, value double, condition string, quality_score double"
 H = datetime(2024, 1, 1, 10)
 
