@@ -78,65 +78,69 @@ class Grid:
 def rings_of(geometry_json: Column) -> Column:
     """GeoJSON Polygon or MultiPolygon text -> polygons > rings > points > (lon, lat)."""
     ring = "array<array<array<double>>>"
-    kind = F.get_json_object(geometry_json, "$.type")
-    coordinates = F.get_json_object(geometry_json, "$.coordinates")
+    geometry = F.from_json(geometry_json, "type string, coordinates string")
+    kind, coordinates = geometry["type"], geometry["coordinates"]
     return (
         F.when(kind == "Polygon", F.array(F.from_json(coordinates, ring)))
         .when(kind == "MultiPolygon", F.from_json(coordinates, f"array<{ring}>"))
     )
 
 
-def _ring_moments(ring: Column, lon0: Column, y0: Column) -> Column:
-    """Twice the signed area and six times the first moments of one ring in the plane
-    (longitude in radians, sine of latitude), relative to the origin (lon0, y0)."""
-    x = F.transform(ring, lambda p: F.radians(p[0]) - lon0)
-    y = F.transform(ring, lambda p: F.sin(F.radians(p[1])) - y0)
-    corner = F.arrays_zip(
-        x.alias("x"), y.alias("y"),
-        F.concat(F.slice(x, 2, F.size(x)), F.slice(x, 1, 1)).alias("nx"),
-        F.concat(F.slice(y, 2, F.size(y)), F.slice(y, 1, 1)).alias("ny"),
-    )
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def step(acc: Column, c: Column) -> Column:
-        cross = c["x"] * c["ny"] - c["nx"] * c["y"]
-        return F.struct(
-            (acc["a"] + cross).alias("a"),
-            (acc["mx"] + (c["x"] + c["nx"]) * cross).alias("mx"),
-            (acc["my"] + (c["y"] + c["ny"]) * cross).alias("my"),
-        )
-
-    return F.aggregate(corner, zero, step)
+def area_centroid(polygons: Column) -> Column:
+    """Struct (lon, lat) of the area centroid in the cylindrical equal-area plane of the sphere.
 
+    In that plane (longitude in radians, sine of latitude) the signed areas and first moments of
+    the rings add up. Exterior rings add and holes take away, whichever way round they are drawn.
+    Each ring is passed over once, from its last point round to its last point; coordinates are
+    relative to the first point, as differences of large products would lose digits.
+    """
+    origin = polygons[0][0][0]
+    lon0, y0 = F.radians(origin[0]), F.sin(F.radians(origin[1]))
+    zero = F.lit(0.0)
 
-def area_centroid(polygons: Column) -> tuple[Column, Column]:
-    """(lon, lat) of the area centroid in the cylindrical equal-area plane of the sphere.
+    def x_of(point: Column) -> Column:
+        return F.radians(point[0]) - lon0
 
-    Exterior rings add area and holes take it away, whatever way round they are drawn.
-    """
-    first = polygons[0][0][0]
-    lon0, y0 = F.radians(first[0]), F.sin(F.radians(first[1]))
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+    def y_of(point: Column) -> Column:
+        return F.sin(F.radians(point[1])) - y0
 
-    def signed(ring: Column, position: Column) -> Column:
-        m = _ring_moments(ring, lon0, y0)
-        turn = F.signum(m["a"]) * F.when(position == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    def step(acc: Column, point: Column) -> Column:
+        cross = acc["x"] * point["y"] - point["x"] * acc["y"]
         return F.struct(
-            (m["a"] * turn).alias("a"), (m["mx"] * turn).alias("mx"), (m["my"] * turn).alias("my")
+            (acc["area"] + cross).alias("area"),
+            (acc["mx"] + (acc["x"] + point["x"]) * cross).alias("mx"),
+            (acc["my"] + (acc["y"] + point["y"]) * cross).alias("my"),
+            point["x"].alias("x"), point["y"].alias("y"),
         )
 
-    def add(acc: Column, m: Column) -> Column:
-        return F.struct(
-            (acc["a"] + m["a"]).alias("a"),
-            (acc["mx"] + m["mx"]).alias("mx"),
-            (acc["my"] + m["my"]).alias("my"),
+    def moments(ring: Column, position: Column) -> Column:
+        plane = F.transform(ring, lambda p: F.struct(x_of(p).alias("x"), y_of(p).alias("y")))
+        last = F.element_at(ring, -1)
+        start = F.struct(
+            zero.alias("area"), zero.alias("mx"), zero.alias("my"),
+            x_of(last).alias("x"), y_of(last).alias("y"),
+        )
+        side = F.when(position == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return F.aggregate(
+            plane, start, step,
+            lambda acc: F.struct(
+                *[(acc[m] * F.signum(acc["area"]) * side).alias(m) for m in ("area", "mx", "my")]
+            ),
         )
 
-    parts = F.flatten(F.transform(polygons, lambda polygon: F.transform(polygon, signed)))
-    total = F.aggregate(parts, zero, add)
-    lon = F.degrees(lon0 + F.try_divide(total["mx"], total["a"] * 3.0))
-    lat = F.degrees(F.asin(y0 + F.try_divide(total["my"], total["a"] * 3.0)))
-    return lon, lat
+    def add(acc: Column, m: Column) -> Column:
+        return F.struct(*[(acc[c] + m[c]).alias(c) for c in ("area", "mx", "my")])
+
+    # The sums are twice the area and six times the moments.
+    return F.aggregate(
+        F.flatten(F.transform(polygons, lambda polygon: F.transform(polygon, moments))),
+        F.struct(zero.alias("area"), zero.alias("mx"), zero.alias("my")),
+        add,
+        lambda acc: F.struct(
+            F.degrees(lon0 + F.try_divide(acc["mx"], acc["area"] * 3.0)).alias("lon"),
+            F.degrees(F.asin(y0 + F.try_divide(acc["my"], acc["area"] * 3.0))).alias("lat"),
+        ),
+    )
 
 
 def register_sql_functions(spark: SparkSession) -> None:
