@@ -122,18 +122,19 @@ def interpolate(
     min_stations: int = 1,
     ranges: Ranges = DEFAULT_RANGES,
     vocabulary: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    few_pairs: bool | None = None,
 ) -> DataFrame:
     """One row per place and time with at least `min_stations` readings in range.
 
     `readings`: source_id, timestamp (already aligned), condition, the fields, quality_score and,
     for forecasts, the issue time. `pairs`: plz, source_id, distance_km, centroid_lat,
     centroid_lon, read more than once, so better a written table than a plan. `vocabulary`, if
-    given, holds every condition that occurs (see `condition_vocabulary`).
+    given, holds every condition that occurs (see `condition_vocabulary`). The pairs are counted
+    unless `few_pairs` tells whether they may be broadcast.
     """
     present = _present(readings, fields)
     sums = station_sums(readings, present, vocabulary)
-    if fits(pairs, broadcast_rows):
+    if fits(pairs, BROADCAST_ROWS) if few_pairs is None else few_pairs:
         spread, key = _by_block(sums, pairs)
     else:
         spread = sums.join(pairs.select("plz", "source_id", "distance_km"), "source_id")

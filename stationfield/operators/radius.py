@@ -107,6 +107,7 @@ def rank_by_distance(pairs: DataFrame, ring_km: float = RING_KM) -> DataFrame:
     """Adds `distance_rank`, 1 for the nearest station of a place.
 
     A station's rank is its rank in its ring of distances plus the stations of all inner rings.
+    The pairs are read twice, so better a written table than a plan.
     """
     ringed = pairs.withColumn("_ring", F.floor(F.col("distance_km") / F.lit(ring_km)))
     inner = Window.partitionBy("plz").orderBy("_ring").rowsBetween(Window.unboundedPreceding, -1)

@@ -148,7 +148,8 @@ def nearby_stations(spark, d):
 @query
 def nearest_station_rank(spark, d):
     pairs = transforms.station_pairs(_places(spark, d), _stations(spark, d), "synop")
-    ranked = radius.rank_by_distance(pairs.select("plz", "source_id", "distance_km"))
+    written = materialize(pairs.select("plz", "source_id", "distance_km"), "pairs")
+    ranked = radius.rank_by_distance(written)
     return ranked.select("plz", "source_id", F.col("distance_rank").cast("bigint"))
 
 

@@ -160,11 +160,19 @@ def transform(
     tiebreak: Sequence[str] | None = None,
     options: Options = DEFAULT_OPTIONS,
 ) -> DataFrame:
-    """Staging rows without the version column, in the staging column order."""
-    readings = prepare_readings(raw, spec, as_of, span, tiebreak, options)
+    """Staging rows without the version column, in the staging column order.
+
+    Where the pairs fit a broadcast, readings of stations near no place are left out in the scan
+    stage, before anything is shuffled.
+    """
+    few_pairs = fits(pairs)
     vocabulary = condition_vocabulary(_in_window(raw, spec, as_of, span))
+    if few_pairs:
+        near = pairs.select("source_id").distinct()
+        raw = raw.join(F.broadcast(near), "source_id", "left_semi")
+    readings = prepare_readings(raw, spec, as_of, span, tiebreak, options)
     result = interpolate(
-        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary
+        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary, few_pairs
     )
     return result.select(*spec.staging.payload.fieldNames())
 

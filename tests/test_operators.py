@@ -128,10 +128,10 @@ def pairs_of(spark, rows):
 
 
 WAYS = [
-    pytest.param({"broadcast_rows": 1000, "counted": True}, id="aligned, counted"),
-    pytest.param({"broadcast_rows": 1000, "counted": False}, id="aligned, plain"),
-    pytest.param({"broadcast_rows": 0, "counted": True}, id="shuffled, counted"),
-    pytest.param({"broadcast_rows": 0, "counted": False}, id="shuffled, plain"),
+    pytest.param({"few_pairs": True, "counted": True}, id="aligned, counted"),
+    pytest.param({"few_pairs": True, "counted": False}, id="aligned, plain"),
+    pytest.param({"few_pairs": False, "counted": True}, id="shuffled, counted"),
+    pytest.param({"few_pairs": False, "counted": False}, id="shuffled, plain"),
 ]
 
 
@@ -139,7 +139,7 @@ def run(spark, readings, pairs, way, minimum=1):
     df = spark.createDataFrame(readings, READING)
     words = idw.condition_vocabulary(df) if way["counted"] else None
     out = idw.interpolate(
-        df, pairs, ["value", "absent"], minimum, Ranges(), words, way["broadcast_rows"]
+        df, pairs, ["value", "absent"], minimum, Ranges(), words, way["few_pairs"]
     )
     return {(r["plz"], r["timestamp"].hour): r for r in out.collect()}
 
