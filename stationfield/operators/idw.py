@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationfield.functions.geo import idw_weight
@@ -69,10 +69,14 @@ def _winner(vocabulary: Sequence[str]) -> Column:
 
 
 def station_sums(
-    readings: DataFrame, fields: Sequence[str], vocabulary: Sequence[str] | None = None
+    readings: DataFrame,
+    fields: Sequence[str],
+    vocabulary: Sequence[str] | None = None,
+    distinct_stations: bool = False,
 ) -> DataFrame:
     """Per station and time: sum and count of each field, summed quality and row count, and the
-    votes for each condition of the vocabulary. Without one the condition is part of the key."""
+    votes for each condition of the vocabulary. Without one the condition is part of the key.
+    `stations`, if wanted, is 1 once per station and time."""
     sums = [F.sum(f).alias(f"sum_{f}") for f in fields]
     counts = [F.count(f).cast("double").alias(f"n_{f}") for f in fields]
     issue = [F.max(ISSUE).alias(ISSUE)] if ISSUE in readings.columns else []
@@ -85,10 +89,16 @@ def station_sums(
             F.count(F.when(F.col("condition") == word, F.lit(1))).alias(name)
             for word, name in zip(vocabulary, _votes(vocabulary), strict=True)
         ]
-    return readings.groupBy(*key).agg(
+    summed = readings.groupBy(*key).agg(
         *sums, *counts, *votes, quality.cast("double").alias("quality"),
         F.count(F.lit(1)).alias("rows"), *issue,
     )
+    if not distinct_stations:
+        return summed
+    if vocabulary is not None:
+        return summed.withColumn("stations", F.lit(1))
+    first = F.row_number().over(Window.partitionBy("source_id", "timestamp").orderBy("condition"))
+    return summed.withColumn("stations", (first == 1).cast("int"))
 
 
 def _combine(
@@ -103,6 +113,7 @@ def _combine(
     each condition and an outer one picks the most frequent, which takes a sort.
     """
     names = [*[f"{kind}_{f}" for f in fields for kind in ("sum", "n")], "quality", "rows"]
+    names += [c for c in ("stations",) if c in weighted.columns]
     issue = [F.max(ISSUE).alias(ISSUE)] if ISSUE in weighted.columns else []
     if vocabulary is not None:
         summed = [F.sum(c).alias(c) for c in [*names, *_votes(vocabulary)]]
@@ -123,6 +134,7 @@ def interpolate(
     ranges: Ranges = DEFAULT_RANGES,
     vocabulary: Sequence[str] | None = None,
     few_pairs: bool | None = None,
+    distinct_stations: bool = False,
 ) -> DataFrame:
     """One row per place and time with at least `min_stations` readings in range.
 
@@ -130,10 +142,11 @@ def interpolate(
     for forecasts, the issue time. `pairs`: plz, source_id, distance_km, centroid_lat,
     centroid_lon, read more than once, so better a written table than a plan. `vocabulary`, if
     given, holds every condition that occurs (see `condition_vocabulary`). The pairs are counted
-    unless `few_pairs` tells whether they may be broadcast.
+    unless `few_pairs` tells whether they may be broadcast. `num_stations` counts readings;
+    `distinct_stations` adds a column of that name that counts stations.
     """
     present = _present(readings, fields)
-    sums = station_sums(readings, present, vocabulary)
+    sums = station_sums(readings, present, vocabulary, distinct_stations)
     if fits(pairs, BROADCAST_ROWS) if few_pairs is None else few_pairs:
         spread, key = _by_block(sums, pairs)
     else:
@@ -178,5 +191,6 @@ def _finish(
     shaped = combined.where(rows >= F.lit(min_stations)).select(
         "plz", "timestamp", *issue, *values, "condition",
         rows.alias("num_stations"), score.alias("data_quality_score"),
+        *[F.col(c).alias("distinct_stations") for c in ("stations",) if c in combined.columns],
     )
     return shaped.withColumn("is_validated", ranges.row_valid(list(fields), MEAN_SLACK))

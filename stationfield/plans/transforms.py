@@ -65,6 +65,7 @@ class Options:
     min_stations: int = 1
     ranges: Ranges = DEFAULT_RANGES
     drop_invalid: bool = False
+    distinct_stations: bool = False
 
 
 DEFAULT_OPTIONS = Options()
@@ -172,9 +173,11 @@ def transform(
         raw = raw.join(F.broadcast(near), "source_id", "left_semi")
     readings = prepare_readings(raw, spec, as_of, span, tiebreak, options)
     result = interpolate(
-        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary, few_pairs
+        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary, few_pairs,
+        options.distinct_stations,
     )
-    return result.select(*spec.staging.payload.fieldNames())
+    extra = ["distinct_stations"] if options.distinct_stations else []
+    return result.select(*spec.staging.payload.fieldNames(), *extra)
 
 
 def transform_tables(

@@ -34,7 +34,7 @@ WITH base AS (
       WHEN 2 THEN TIMESTAMP '2024-02-08 00:00:00'
       ELSE TIMESTAMP '2024-02-10 00:00:00' END AS last_record,
     TIMESTAMP '2024-01-01 00:00:00' AS ingested_at
-  FROM {customer} WHERE c_custkey IN (SELECT user_id FROM {events}))
+  FROM {customer} WHERE c_custkey IN (SELECT DISTINCT user_id FROM {events}))
 SELECT * FROM base
 UNION ALL
 SELECT id, dwd_station_id, wmo_station_id, concat(station_name, ' v2') AS station_name,

@@ -10,8 +10,9 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampType
 
 from stationfield import schemas
@@ -47,20 +48,22 @@ FORECAST_WIRE = _wire(schemas.FORECASTS.payload, (ISSUE,))
 _FIRST_RECORD = StructType([StructField("first_record", StringType(), True)])
 
 
-def _responses(
-    spark: SparkSession, path: str, body: list[StructField], whole_files: bool
-) -> tuple[DataFrame, DataFrame]:
+def responses(source: DataFrameReader | DataStreamReader, path: str, whole_files: bool) -> DataFrame:
+    """Responses as text with their file, one per file or one per line; batch or stream."""
+    text = source.text(path, wholetext=whole_files)
+    return text.where(F.length(F.trim("value")) > 0).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("record")
+    )
+
+
+def _parsed(text: DataFrame, body: list[StructField]) -> tuple[DataFrame, DataFrame]:
     """Parsed responses (file, record, body columns) and the ones that are not valid JSON."""
-    text = spark.read.text(path, wholetext=whole_files).where(F.length(F.trim("value")) > 0)
     corrupt = StructField("_corrupt_record", StringType(), True)
     parsed = F.from_json(
-        "value", StructType([*body, corrupt]),
+        "record", StructType([*body, corrupt]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
-    read = text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"),
-        parsed.alias("parsed"),
-    )
+    read = text.select("file", "record", parsed.alias("parsed"))
     broken = F.col("parsed").isNull() | F.col("parsed._corrupt_record").isNotNull()
     good = read.where(~broken).select("file", "record", *[f"parsed.{f.name}" for f in body])
     return good, read.where(broken).select("file", F.lit("not valid JSON").alias("reason"), "record")
@@ -108,7 +111,7 @@ def read_geojson(spark: SparkSession, path: str, by_line: bool = False) -> DataF
 def read_stations(spark: SparkSession, path: str, whole_files: bool = True) -> Landed:
     """Station records of `{"sources": [...]}` responses; a response without sources has none."""
     body = [StructField("sources", ArrayType(STATION_WIRE), True)]
-    good, broken = _responses(spark, path, body, whole_files)
+    good, broken = _parsed(responses(spark.read, path, whole_files), body)
     rows = good.select("file", "record", F.inline("sources"))
     return parse_stations(rows, broken)
 
@@ -137,8 +140,12 @@ def read_current_weather(
 ) -> Landed:
     """One reading per `{"weather": {...}}` response, none for an empty one; once per station and
     time. `stations` (column id) limits the readings to theirs."""
+    return current_weather(responses(spark.read, path, whole_files), stations)
+
+
+def current_weather(text: DataFrame, stations: DataFrame | None = None) -> Landed:
     body = [StructField("weather", CURRENT_WIRE, True)]
-    good, broken = _responses(spark, path, body, whole_files)
+    good, broken = _parsed(text, body)
     told = F.col("weather").isNotNull() & (F.to_json("weather") != "{}")
     rows = good.where(told).select("file", "record", "weather.*")
     return parse_readings(rows, broken, schemas.OBSERVATIONS_SYNOP, stations)
@@ -157,11 +164,21 @@ def read_forecasts(
     The issue time is the first source's first record, or `as_of` where it has none. Rows outside
     the days asked for are left out; `days_ahead=None` keeps all.
     """
+    text = responses(spark.read, path, whole_files)
+    return forecasts(text, as_of, days_ahead, stations)
+
+
+def forecasts(
+    text: DataFrame,
+    as_of: datetime,
+    days_ahead: int | None = 7,
+    stations: DataFrame | None = None,
+) -> Landed:
     body = [
         StructField("weather", ArrayType(FORECAST_WIRE), True),
         StructField("sources", ArrayType(_FIRST_RECORD), True),
     ]
-    good, broken = _responses(spark, path, body, whole_files)
+    good, broken = _parsed(text, body)
     stated = F.get("sources", 0)["first_record"]
     issued = temporal.parse_utc(stated)
     dated = good.withColumn(

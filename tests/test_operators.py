@@ -139,7 +139,7 @@ def run(spark, readings, pairs, way, minimum=1):
     df = spark.createDataFrame(readings, READING)
     words = idw.condition_vocabulary(df) if way["counted"] else None
     out = idw.interpolate(
-        df, pairs, ["value", "absent"], minimum, Ranges(), words, way["few_pairs"]
+        df, pairs, ["value", "absent"], minimum, Ranges(), words, way["few_pairs"], True
     )
     return {(r["plz"], r["timestamp"].hour): r for r in out.collect()}
 
@@ -161,7 +161,7 @@ def test_interpolation(spark, way):
     a = got["a", 10]
     assert a["value"] == pytest.approx((10 * 10.0 + 1 * 20.0 + 1 * 22.0) / 12.0)
     assert a["absent"] is None
-    assert (a["condition"], a["num_stations"]) == ("rain", 3)
+    assert (a["condition"], a["num_stations"], a["distinct_stations"]) == ("rain", 3, 2)
     assert a["data_quality_score"] == pytest.approx(2.0 / 3 * 1.0)
     assert got["b", 10]["value"] == pytest.approx(21.0)
     # Null at the nearest station: the others alone.
