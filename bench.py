@@ -1,6 +1,7 @@
 """Time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Every query runs to the end into the `noop` sink, three times; the best run counts. Preparatory jobs of a query (written pairs, size checks, landing) are part of its time.
+Every query runs to the end into the `noop` sink, three times; the best run counts. Preparatory
+jobs of a query (written pairs, size checks, landing) are part of its time.
 """
 
 from __future__ import annotations
