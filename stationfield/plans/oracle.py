@@ -415,7 +415,8 @@ ORACLE["non_null_counts"] = _ctes(SYNOP) + " UNION ALL ".join(
     f"SELECT '{f}' AS field, count({f}) AS non_null FROM synop"
     for f in ("temperature", "precipitation_60", "sunshine_60", "condition")
 )
-_PRODUCED = "produced AS (SELECT DISTINCT p.plz, r.timestamp FROM readings r JOIN pairs p ON r.source_id = p.source_id)"
+_PRODUCED = """produced AS (SELECT DISTINCT p.plz, r.timestamp
+  FROM readings r JOIN pairs p ON r.source_id = p.source_id)"""
 ORACLE["coverage"] = _ctes(
     PLACES, STATIONS, CURRENT, SYNOP, _pairs("synop"), _readings("obs", WEEK_BACK), _PRODUCED
 ) + """SELECT pc.plz, CAST(168 AS BIGINT) AS expected_hours, count(x.timestamp) AS produced_hours,

@@ -88,22 +88,14 @@ def read_geojson(spark: SparkSession, path: str, by_line: bool = False) -> DataF
     A FeatureCollection is one JSON document and thus one task per file: land large areas as
     several files, or as one feature per line (`by_line`), which splits anywhere.
     """
-    inner = "postcode STRING"
-    feature = (
-        f"properties STRUCT<{inner.replace(' ', ': ')}, properties: STRUCT<postcode: STRING>>, "
-        "geometry STRING"
-    )
+    properties = "STRUCT<postcode: STRING, properties: STRUCT<postcode: STRING>>"
     if by_line:
-        features = spark.read.schema(feature).json(path)
+        schema = f"properties {properties}, geometry STRING"
+        features = spark.read.schema(schema).json(path)
     else:
-        shape = feature.replace("properties STRUCT", "properties: STRUCT").replace(
-            "geometry STRING", "geometry: STRING"
-        )
-        features = (
-            spark.read.option("multiLine", True)
-            .schema(f"features ARRAY<STRUCT<{shape}>>").json(path)
-            .selectExpr("inline(features)")
-        )
+        schema = f"features ARRAY<STRUCT<properties: {properties}, geometry: STRING>>"
+        collections = spark.read.option("multiLine", True).schema(schema).json(path)
+        features = collections.select(F.inline("features"))
     postcode = F.coalesce("properties.postcode", "properties.properties.postcode", F.lit(""))
     return features.select(postcode.alias("postcode"), "geometry")
 
