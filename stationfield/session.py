@@ -26,15 +26,21 @@ def build_session(app: str = "stationfield", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: `spark.checkpoint.dir`, or a local one where that is unset."""
+    """The folder all executors see: `spark.checkpoint.dir`.
+
+    Only a local session, whose driver and executors are one process, may do without that
+    setting and gets a folder of its own; a cluster without it is refused.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="stationfield-")
-    spark.sparkContext.setCheckpointDir(local)
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationfield-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
@@ -54,5 +60,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows; reads no more than needed to decide."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when `df` has at most `max_rows` rows; one number per task is sent."""
+    return df.count() <= max_rows

@@ -3,7 +3,9 @@
 import pytest
 from compare import compare, duckdb_views
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stationfield.plans.oracle import ORACLE
+from stationfield.plans.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     verdict, _ = compare(spark, con, name, SF_DIR)
     assert verdict == "ok"
