@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationfield.llm import exact_dedup
+from stationfield.llm import exact_dedup, packing, secret_scan, sharding
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,18 @@ SELECT doc_id,
        sha AS text_sha256
 FROM t
 """
+
+
+@query
+def op2_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.assignment(table(spark, d, "documents"))
+
+
+@query
+def op5_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    return secret_scan.digest(table(spark, d, "documents"))
+
+
+@query
+def op7_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"))
