@@ -96,3 +96,19 @@ def by_batches(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+#: A key with more than this part of all rows is hot: there are fewer than 1000 of them.
+HOT_PART = 1000
+
+
+def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, n_rows: int) -> DataFrame:
+    """`rows` left-joined with `side`, which has one row for each key and how many `rows` it meets.
+
+    Keys that meet a large part of the rows, few by construction, are broadcast; the others are
+    joined by a shuffle, in which no key is large.
+    """
+    hot = F.broadcast(side.where(F.col(count) > n_rows / HOT_PART))
+    cold = side.where(F.col(count) <= n_rows / HOT_PART)
+    others = rows.join(hot.select(key), key, "left_anti").join(cold, key, "left")
+    return rows.join(hot, key).unionByName(others)

@@ -15,13 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationfield.llm.common import packed, stored
+from stationfield.llm.common import hot_join, packed, stored
 from stationfield.session import scratch_path
 
 BITS_PER_ROW = 16
 SLICE_CELLS = 1 << 26
-#: A group of more than this share of the rows is hot: there are at most 1000 of them.
-HOT_SHARE = 1000
 
 
 def normal(text: Column) -> Column:
@@ -76,15 +74,6 @@ def _groups(rows: DataFrame, doc_id: Column) -> DataFrame:
     )
 
 
-def _matched(rows: DataFrame, groups: DataFrame, n_rows: int) -> DataFrame:
-    """`rows` with their group: hot ones, few by construction, by broadcast; the others by a shuffle."""
-    hot = F.broadcast(groups.where(F.col("group_size") > n_rows / HOT_SHARE))
-    cold = groups.where(F.col("group_size") <= n_rows / HOT_SHARE)
-    return rows.join(hot, "sha").unionByName(
-        rows.join(hot.select("sha"), "sha", "left_anti").join(cold, "sha", "left"), allowMissingColumns=True
-    )
-
-
 def _rows(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     n_rows = docs.count()
     rows = packed(docs, sha=F.unhex(F.sha2(normal(F.col(text)), 256)), n=F.length(F.coalesce(F.col(text), F.lit(""))))
@@ -104,7 +93,8 @@ def copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     single = rows.where("not maybe").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     again = rows.where("maybe").select("doc_id", "sha", "n")
     merged = again.groupBy("sha", "n", "doc_id").agg(F.count("*").alias("times"))
-    found = _matched(merged, stored(_groups(again, F.col("doc_id")), "dedup-groups"), n_rows)
+    groups = stored(_groups(again, F.col("doc_id")), "dedup-groups")
+    found = hot_join(merged, groups, "sha", "group_size", n_rows)
     found = found.select("*", F.posexplode(F.sequence(F.lit(1), F.col("times"))).alias("nth", "_"))
     lone = F.col("group_size").isNull()
     stays = (F.col("nth") == 0) & (lone | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))))
@@ -122,7 +112,7 @@ def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = _flagged(rows, slices)
     again = rows.where("maybe").withColumn("doc_id", F.col(f"row.`{doc_id}`"))
     groups = stored(_groups(again.select("doc_id", "sha", "n"), F.col("doc_id")), "dedup-groups")
-    found = _matched(again.select("row", "doc_id", "sha", "n"), groups, n_rows)
+    found = hot_join(again.select("row", "doc_id", "sha", "n"), groups, "sha", "group_size", n_rows)
     lone = found.where(F.col("group_size").isNull()).select("row.*")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n")))
     return rows.where("not maybe").select("row.*").unionByName(lone).unionByName(

@@ -26,7 +26,7 @@ END_ID = 1
 #: Pieces one task packs.
 TASK_PIECES = 50_000
 #: Words a worker remembers before it begins anew.
-MEMORY_WORDS = 1_500_000
+MEMORY_WORDS = 400_000
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,.:;?|]*)")
 
@@ -159,7 +159,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_batches(batches, 4000):
+        for batch in by_batches(batches, 1500):
             ids, starts = ids_of(batch.column(1), path)
             total = np.diff(starts)
             n_pieces = -(-total // window)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationfield.llm import exact_dedup, packing, secret_scan, sharding
+from stationfield.llm import exact_dedup, packing, quality, secret_scan, sharding
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,8 @@ def op5_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.digest(table(spark, d, "documents"), table(spark, d, "labels"))
