@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, packing, quality, secret_scan, sharding
+from stationfield.llm import exact_dedup, packing, quality, secret_scan, sharding, url_filter
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +58,46 @@ def op7_packing(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.digest(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query
+def op3_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Pages as captures of one year, the day derived from the id, against entries derived from them."""
+    pages = table(spark, d, "pages").select(
+        F.col("page_id").alias("id"), "url", F.expr("cast(pmod(page_id * 7919, 365) AS int)").alias("day")
+    )
+    listed = url_filter.intervals(url_filter.derived_entries(pages))
+    return url_filter.as_of(pages, listed).select(
+        F.col("id").alias("page_id"), "url", "day", "host", "n_rules", "rule", "blocked"
+    )
+
+
+ORACLE["op3_url_filter"] = r"""
+WITH c AS (
+  SELECT page_id, url, CAST(((page_id * 7919) % 365 + 365) % 365 AS INT) AS day,
+         lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+         regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS seg
+  FROM pages
+), l AS (SELECT *, string_split(host, '.') AS labels FROM c WHERE host <> ''),
+k AS (
+  SELECT DISTINCT page_id, url, day, key FROM (
+    SELECT page_id, url, day, 'd:' || array_to_string(labels[i:], '.') AS key
+    FROM (SELECT *, unnest(range(1, greatest(len(labels), 2))) AS i FROM l)
+    UNION ALL SELECT page_id, url, day, 'p:' || host || '/' || seg FROM l WHERE seg <> '')
+), h AS (SELECT key, md5(key) AS m FROM (SELECT DISTINCT key FROM k)),
+b AS (
+  SELECT key, CAST('0x' || m[1:2] AS INT) AS b0, CAST('0x' || m[3:4] AS INT) AS b1, CAST('0x' || m[5:6] AS INT) AS b2,
+         CAST('0x' || m[7:8] AS INT) AS b3, CAST('0x' || m[9:10] AS INT) AS b4, CAST('0x' || m[11:12] AS INT) AS b5
+  FROM h
+), v AS (
+  SELECT key, b1 AS from_day, CASE WHEN b4 % 2 = 0 THEN b1 + 20 + b2 % 60 ELSE 1000000 END AS to_day FROM b WHERE b0 % 4 = 0
+  UNION ALL
+  SELECT key, b1 + 30 + b2 % 60 + b3 % 60, 1000000 FROM b WHERE b0 % 4 = 0 AND b4 % 2 = 0 AND b5 % 2 = 0
+), hit AS (SELECT k.page_id, k.url, k.day, k.key FROM k JOIN v ON k.key = v.key AND k.day >= v.from_day AND k.day < v.to_day),
+best AS (
+  SELECT page_id, url, day, count(*) AS n_rules, max_by(key, lpad(CAST(length(key) AS VARCHAR), 6, '0') || key) AS rule
+  FROM hit GROUP BY ALL
+)
+SELECT c.page_id, c.url, c.day, c.host, coalesce(n_rules, 0) AS n_rules, rule, n_rules IS NOT NULL AS blocked
+FROM c LEFT JOIN best ON c.page_id IS NOT DISTINCT FROM best.page_id AND c.url IS NOT DISTINCT FROM best.url AND c.day IS NOT DISTINCT FROM best.day
+"""
