@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, packing, quality, secret_scan, sharding, url_filter
+from stationfield.llm import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, url_filter
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,8 @@ best AS (
 SELECT c.page_id, c.url, c.day, c.host, coalesce(n_rules, 0) AS n_rules, rule, n_rules IS NOT NULL AS blocked
 FROM c LEFT JOIN best ON c.page_id IS NOT DISTINCT FROM best.page_id AND c.url IS NOT DISTINCT FROM best.url AND c.day IS NOT DISTINCT FROM best.day
 """
+
+
+@query
+def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.classes(table(spark, d, "documents"))
