@@ -12,9 +12,10 @@ smallest hashes; the first common one is in both sketches, except with a chance
 0.25 ** SKETCH (48: 1e-29), far below that of two shingles sharing a 64-bit hash, on which all
 set comparisons rest. So all linked pairs share a sketch token, and a document joins the block
 of the smallest document that has the token: near copies, which share most tokens, meet in few
-blocks. A whole sketch may leave out its `SPARE` most frequent tokens where these occur in more
-than `FREQUENT` documents (passages found everywhere): with 13 common tokens or more, one is left
-in both sketches, and fewer than 13 of 48 have a chance below 1e-12.
+blocks. Prefix filter: two whole sketches have `SPARE` + 1 tokens in common (fewer have a chance
+below 1e-12), so both documents may leave out their `SPARE` most frequent tokens, in one order
+for all; the rarest common token is left to both. Passages found in many documents thus bring
+nobody into a block.
 
 A block of more than `BLOCK_DOCS` documents is dealt to several tasks, each with the block's
 first document. Documents that this did not connect to the first one's component (few, where the
@@ -38,8 +39,7 @@ from stationfield.llm.components import components
 
 SHINGLE = 5
 SKETCH = 48
-SPARE = 6
-FREQUENT = 500
+SPARE = 12
 BLOCK_DOCS = 1000
 #: Documents (with their sets) a task compares in all its blocks.
 TASK_DOCS = 4000
@@ -90,9 +90,10 @@ def _memberships(firsts: DataFrame, n_docs: int) -> DataFrame:
     entries = firsts.select("doc_id", F.size("sketch").alias("n"), F.explode("sketch").alias("token"))
     tokens = stored(entries.groupBy("token").agg(F.min("doc_id").alias("block"), F.count("*").alias("times")).where("times > 1"), "join-tokens")
     shared = hot_join(entries, tokens, "token", "times", n_docs).where("block IS NOT NULL")
-    # at most SKETCH entries each; the most frequent come first
+    # at most SKETCH entries each; the most frequent come first. A set smaller than its sketch
+    # shares three quarters of its tokens and can spare one less than that.
     mine = shared.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("times", "token", "block")), asc=False).alias("met"))
-    spared = F.expr(f"filter(met, (x, i) -> NOT (n = {SKETCH} AND i < {SPARE} AND x.times > {FREQUENT}))")
+    spared = F.expr(f"filter(met, (x, i) -> i >= least({SPARE}, ceil(0.75 * n) - 1))")
     return mine.select("doc_id", F.explode(F.array_distinct(F.transform(spared, lambda x: x["block"]))).alias("block"))
 
 
