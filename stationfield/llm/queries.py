@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, url_filter
+from stationfield.llm import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, substring_dedup, url_filter
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,8 @@ FROM c LEFT JOIN best ON c.page_id IS NOT DISTINCT FROM best.page_id AND c.url I
 @query
 def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.classes(table(spark, d, "documents"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, d, "documents"), with_text=False)
