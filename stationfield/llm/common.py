@@ -112,3 +112,9 @@ def hot_join(rows: DataFrame, side: DataFrame, key: str, count: str, n_rows: int
     cold = side.where(F.col(count) <= n_rows / HOT_PART)
     others = rows.join(hot.select(key), key, "left_anti").join(cold, key, "left")
     return rows.join(hot, key).unionByName(others)
+
+
+def within(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each length, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationfield.llm.common import by_batches, parts, split_words, stored
+from stationfield.llm.common import by_batches, parts, split_words, stored, within
 
 WINDOW = 2048
 END_ID = 1
@@ -83,17 +83,11 @@ def ids_of(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     starts = ends[bounds] + n  # of each text, with one closing id for each text before
     out = np.full(int(starts[-1]), end_id, np.uint32)
     text_of_word = np.repeat(n[:-1], np.diff(bounds))
-    to = np.repeat(ends[:-1] + text_of_word, each) + _within(each)
-    out[to] = flat[np.repeat(first[codes], each) + _within(each)]
+    to = np.repeat(ends[:-1] + text_of_word, each) + within(each)
+    out[to] = flat[np.repeat(first[codes], each) + within(each)]
     return out, starts
 
 
-def _within(lengths: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each length, one after another."""
-    ends = np.cumsum(lengths)
-    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - lengths, lengths)
-
-
 class RoomIndex:
     """A segment tree over rooms 0 to `most`: which room, of at least a size, has an open window."""
 
@@ -164,7 +158,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window:
             total = np.diff(starts)
             n_pieces = -(-total // window)
             row = np.repeat(np.arange(len(total)), n_pieces)
-            start = _within(n_pieces) * window
+            start = within(n_pieces) * window
             length = np.minimum(window, total[row] - start)
             data, first = ids.astype("<u4"), starts[:-1][row] + start
             crc = [zlib.crc32(data[a : a + n]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]

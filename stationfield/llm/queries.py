@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, substring_dedup, url_filter
+from stationfield.llm import exact_dedup, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,8 @@ def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.without_repeats(table(spark, d, "documents"), with_text=False)
+
+
+@query
+def op1_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.round_trip(table(spark, d, "documents"))
