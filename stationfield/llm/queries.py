@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter
+from stationfield.llm import exact_dedup, neighbours, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,8 @@ def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.round_trip(table(spark, d, "documents"))
+
+
+@query
+def op6_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.nearest(table(spark, d, "embeddings"), lambda vec_id: vec_id % 100 == 0)
