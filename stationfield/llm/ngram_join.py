@@ -229,7 +229,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             tokens = pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), tokens, batch.column("cells")], ["doc_id", "tokens", "cells"])
 
-    given = docs.select("doc_id", "text").join(wanted, "doc_id")
+    given = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id")  # shuffled at any size
     kind = given.schema["cells"].dataType.simpleString()
     return given.select("doc_id", "text", "cells").mapInArrow(run, f"doc_id bigint, tokens binary, cells {kind}")
 
