@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from stationfield.llm.common import hot_join, mixed, parts, stored
 
 TABLES = 8
+FOLDS = 8  # the same for any number of vectors: more would need more cells for the same success
 TARGET = 0.97
 WIDTH = 1.6  # in units of r
 MOST_CELLS = 512  # of a table for a query
@@ -47,8 +48,8 @@ def _below(x: np.ndarray) -> np.ndarray:
 class Grids:
     """The projections of all tables: the same on every machine, as they follow from the sizes."""
 
-    def __init__(self, dim: int, n_vectors: int, r: float) -> None:
-        self.folds = max(3, min(16, round(math.log2(max(2, n_vectors)) / 2)))
+    def __init__(self, dim: int, r: float) -> None:
+        self.folds = FOLDS
         random = np.random.default_rng([dim, self.folds])
         self.axes = random.standard_normal((TABLES, self.folds, dim))
         self.r, self.width = r, WIDTH * r
@@ -236,7 +237,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", e
     queries = stored(same.join(wanted.select(F.col("query").alias("rep")), "rep"), "ann-query-vectors")
 
     n_vectors = same.count()
-    grids = Grids(dim, n_vectors, _typical_distance(same, n_vectors, k))
+    grids = Grids(dim, _typical_distance(same, n_vectors, k))
     n_index = n_vectors * TABLES
     index = stored(_index(same, grids), "ann-index")
     found = stored(_best(_in_blocks(index, _probes(queries, grids), queries, n_index, k + 1), k + 1), "ann-found")
