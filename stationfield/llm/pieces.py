@@ -43,7 +43,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
     """A hash of each row of code points."""
-    out = np.full(len(codes), codes.shape[1], np.uint64)
+    out = np.zeros(len(codes), np.uint64)
     for k in range(codes.shape[1]):
         out = out * ODD + codes[:, k]
     return mixed(out)
@@ -78,11 +78,13 @@ class Pieces:
                 normal.append(i)
         self.id_of = {self.names[i]: i for i in normal}
         self.longest = max(len(x) for x in self.id_of)
+        # all beginnings of pieces, so that a search ends where no piece goes on; -1: not itself one
+        begun = {x[:k]: -1 for x in self.id_of for k in range(1, len(x))} | self.id_of
         by_length: dict[int, list[str]] = {}
-        for x in self.id_of:
+        for x in begun:
             by_length.setdefault(len(x), []).append(x)
         keys = np.concatenate([_hashes(_codes(group)) for group in by_length.values()])
-        ids = np.array([self.id_of[x] for group in by_length.values() for x in group])
+        ids = np.array([begun[x] for group in by_length.values() for x in group])
         order = np.argsort(keys)
         self._keys, self._ids = keys[order], ids[order]
         self._units: dict[str, tuple[int, ...]] = {}
@@ -127,34 +129,46 @@ class Pieces:
         best[:, 0] = 0.0
         last = np.full((n_units, n + 1), -1, np.int64)
         back = np.zeros((n_units, n + 1), np.int64)
-        for end in range(1, n + 1):
-            for size in range(1, min(self.longest, end) + 1):
-                start = end - size
-                key = _hashes(codes[:, start:end])
+        for start in range(n):
+            if start:
+                none = np.flatnonzero(back[:, start] == 0)  # no piece ends here: the character becomes bytes
+                best[none, start], last[none, start], back[none, start] = best[none, start - 1], -1, 1
+            rows, hashed = np.arange(n_units), np.zeros(n_units, np.uint64)
+            for size in range(1, min(self.longest, n - start) + 1):
+                end = start + size
+                hashed = hashed * ODD + codes[rows, end - 1]
+                key = mixed(hashed)
                 at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
-                hit = np.flatnonzero(self._keys[at] == key)
-                piece = self._ids[at[hit]]
+                goes_on = self._keys[at] == key
+                rows, hashed, piece = rows[goes_on], hashed[goes_on], self._ids[at[goes_on]]
+                if not len(rows):
+                    break
+                whole = np.flatnonzero(piece >= 0)
+                hit, piece = rows[whole], piece[whole]
                 fits = self._stays(last[hit, start], piece)
                 hit, piece = hit[fits], piece[fits]
                 total = best[hit, start] + self.scores[piece]
-                # a way of finite score beats none; beyond that the larger sum wins
                 better = total > best[hit, end]
                 hit, piece = hit[better], piece[better]
                 best[hit, end], last[hit, end], back[hit, end] = total[better], piece, size
-            none = np.flatnonzero(back[:, end] == 0)  # no piece: the character becomes bytes
-            best[none, end], last[none, end], back[none, end] = best[none, end - 1], -1, 1
-        out = []
-        for u, unit in enumerate(units):
+        none = np.flatnonzero(back[:, n] == 0)
+        best[none, n], last[none, n], back[none, n] = best[none, n - 1], -1, 1
+        # back along the pointers, all units at once
+        found, u = np.zeros((n_units, n), np.int64), np.arange(n_units)
+        place, count, spelled = np.full(n_units, n), np.zeros(n_units, np.int64), np.zeros(n_units, bool)
+        while len(u):
+            piece, size = last[u, place[u]], back[u, place[u]]
+            count[u] += 1
+            found[u, n - count[u]] = np.where(piece >= 0, piece, -place[u])
+            spelled[u] |= piece < 0
+            place[u] -= size
+            u = u[place[u] > 0]
+        out = [tuple(row[n - k :]) for row, k in zip(found.tolist(), count.tolist(), strict=True)]
+        for u in np.flatnonzero(spelled).tolist():
             ids: list[int] = []
-            end = n
-            while end:
-                size, piece = int(back[u, end]), int(last[u, end])
-                if piece >= 0:
-                    ids.append(piece)
-                else:
-                    ids += [int(self.byte_id[b]) for b in reversed(unit[end - 1].encode("utf-8", "surrogatepass"))]
-                end -= size
-            out.append(tuple(reversed(ids)))
+            for i in out[u]:
+                ids += [i] if i >= 0 else [int(self.byte_id[b]) for b in units[u][-i - 1].encode("utf-8", "surrogatepass")]
+            out[u] = tuple(ids)
         return out
 
     def of_units(self, units: list[str]) -> list[tuple[int, ...]]:
