@@ -198,9 +198,9 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: in
     out = places.groupBy("part").applyInPandas(fill, PIECES + ", sequence_id bigint, offset bigint, padded_length bigint")
     if with_ids:
         key = ["doc_id", "start", "length", "ids_crc32"]
-        ids = found.dropDuplicates(key).select(*key, "ids")
-        same = [out[c].eqNullSafe(ids[c]) for c in key]
-        out = out.join(ids, same).select(out["*"], ids["ids"])
+        ids = found.dropDuplicates(key).select(*[F.col(c).alias(f"of_{c}") for c in key], "ids")
+        same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key]
+        out = out.join(ids, same).drop(*[f"of_{c}" for c in key])
     return out
 
 
