@@ -39,8 +39,15 @@ def format_utc(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
+def naive_utc(when: datetime | None) -> datetime | None:
+    """The same instant in UTC, without a time zone; a time without one is in UTC already."""
+    if when is None or when.tzinfo is None:
+        return when
+    return when.astimezone(UTC).replace(tzinfo=None)
+
+
 def _hour(as_of: datetime) -> datetime:
-    return as_of.replace(minute=0, second=0, microsecond=0)
+    return naive_utc(as_of).replace(minute=0, second=0, microsecond=0)
 
 
 def lookback(as_of: datetime, hours_back: int = 24) -> tuple[datetime, datetime]:
@@ -55,7 +62,7 @@ def horizon(as_of: datetime, days_ahead: int = 7) -> tuple[datetime, datetime]:
 
 def calendar_horizon(as_of: datetime, days_ahead: int = 7) -> tuple[datetime, datetime]:
     """Half-open range of whole days, as a forecast request asks for."""
-    day = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    day = naive_utc(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
     return day, day + timedelta(days=days_ahead)
 
 

@@ -46,7 +46,7 @@ def weather_stations(
 def active_synop_stations(stations: DataFrame, as_of: datetime) -> DataFrame:
     """SYNOP stations with a record on the day of `as_of` or later."""
     current = current_stations(stations, "synop")
-    return current.where(F.to_date("last_record") >= F.lit(as_of.date()))
+    return current.where(F.to_date("last_record") >= F.lit(temporal.naive_utc(as_of).date()))
 
 
 def forecast_stations(

@@ -38,8 +38,8 @@ class Spec:
     def window(self, as_of: datetime, span: int | None = None) -> tuple[datetime, datetime]:
         """Run window: hours back for observations, days ahead for forecasts."""
         if self.is_forecast:
-            return temporal.horizon(as_of, span or 7)
-        return temporal.lookback(as_of, span or 24)
+            return temporal.horizon(as_of, 7 if span is None else span)
+        return temporal.lookback(as_of, 24 if span is None else span)
 
 
 _FIELDS = (
