@@ -11,7 +11,8 @@ its least 25-word run (by hash, leftmost), which is the same run for equal windo
 neighbours: a row carries all windows that share it. Runs that occur in one text only cannot be
 part of a repeat and are left out by counting first. Prefixes have variable length: a run found
 more than `LONG_PREFIX` times is lengthened to the whole 50 words, whose groups are
-single nodes and need no more than the smallest document, added up before the shuffle.
+single nodes and need no more than the smallest document, added up before the shuffle. A text
+gives each of its distinct windows once, with all places.
 
 Runs and whole windows are told apart by 64-bit hashes, the words around a run by 32 bits each.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationfield.llm.common import by_batches, gram_hashes, hot_join, parts, stored, word_hashes
+from stationfield.llm.common import by_batches, gram_hashes, hot_join, parts, stored, within, word_hashes
 
 WINDOW = 50
 RUN = 25
@@ -89,7 +90,7 @@ def _runs(docs: DataFrame) -> DataFrame:
 
 
 def _suffixes(found: DataFrame, long: bool) -> DataFrame:
-    """(doc_id, text, places) to the rows at these places: with their words, or with a hash for each window."""
+    """(doc_id, text, places) to the rows at these places with their words; or to each text's distinct windows there, as hashes with their starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_batches(batches, 500):
@@ -101,20 +102,21 @@ def _suffixes(found: DataFrame, long: bool) -> DataFrame:
             start = bounds[:-1][text] + first
             ids = batch.column("doc_id").take(pa.array(text))
             if long:
-                whole = gram_hashes(words, WINDOW).view(np.int64)
-                parts_ = [whole[a : a + n] for a, n in zip(start.tolist(), count.tolist(), strict=True)]
-                hashes = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(np.concatenate([*parts_, np.empty(0, np.int64)]))
-                )
-                columns = [ids, pa.array(first.astype(np.int32)), hashes]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "windows"])
+                of, at = np.repeat(text, count), np.repeat(start, count) + within(count)
+                whole = gram_hashes(words, WINDOW)[at]
+                order = np.lexsort((at, whole, of))
+                of, at, whole = of[order], at[order], whole[order]
+                head = np.flatnonzero(np.concatenate([np.ones(min(len(of), 1), bool), (of[1:] != of[:-1]) | (whole[1:] != whole[:-1])]))
+                starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(of)), pa.int32()), pa.array((at - bounds[:-1][of]).astype(np.int32)))
+                columns = [batch.column("doc_id").take(pa.array(of[head])), pa.array(whole[head].view(np.int64)), starts]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "window", "starts"])
             else:
                 short = words.astype(np.uint32)
                 cut = [short[a : a + n + WINDOW - 1].tobytes() for a, n in zip(start.tolist(), count.tolist(), strict=True)]
                 columns = [ids, pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(cut, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "run", "words"])
 
-    kind = "doc_id bigint, first int, windows array<bigint>" if long else "doc_id bigint, first int, run bigint, words binary"
+    kind = "doc_id bigint, window bigint, starts array<int>" if long else "doc_id bigint, first int, run bigint, words binary"
     return found.select("doc_id", "text", "places").mapInArrow(run, kind)
 
 
@@ -139,8 +141,8 @@ def repeats_in(doc_id: np.ndarray, first: np.ndarray, run: np.ndarray, words: li
     lengths = np.fromiter((len(w) // 4 for w in words), np.int64, len(words))
     n_windows = lengths - WINDOW + 1
     row = np.repeat(np.arange(len(words)), n_windows)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    place = (np.cumsum(lengths) - lengths)[row] + within
+    nth = within(n_windows)
+    place = (np.cumsum(lengths) - lengths)[row] + nth
     rank = deep_nodes(np.frombuffer(b"".join(words), np.uint32))[place]
     whose = run[row].view(np.uint64)
     order = np.lexsort((rank, whose))
@@ -148,7 +150,7 @@ def repeats_in(doc_id: np.ndarray, first: np.ndarray, run: np.ndarray, words: li
     smallest = np.minimum.reduceat(doc_id[row][order], np.flatnonzero(new))[np.cumsum(new) - 1]
     again = np.zeros(len(row), bool)
     again[order] = doc_id[row][order] > smallest
-    row, start = row[again], first[row[again]] + within[again]
+    row, start = row[again], first[row[again]] + nth[again]
     if not len(row):
         return pd.DataFrame({"doc_id": [], "start": [], "stop": []}).astype({"doc_id": "int64", "start": "int32", "stop": "int32"})
     turn = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)])
@@ -169,12 +171,11 @@ def _short_repeats(rows: DataFrame, n_rows: int) -> DataFrame:
     return rows.repartition(parts(n_rows, TASK_ROWS), "run").mapInPandas(run, "doc_id bigint, start int, stop int")
 
 
-def _long_repeats(rows: DataFrame, n_rows: int) -> DataFrame:
-    single = rows.select("doc_id", "first", F.posexplode("windows").alias("nth", "window"))
-    least = single.groupBy("window").agg(F.min("doc_id").alias("least"), F.count("*").alias("times"))
-    met = hot_join(single, least.where("times > 1"), "window", "times", n_rows).where("doc_id > least")
-    start = F.col("first") + F.col("nth")
-    return met.select("doc_id", start.cast("int").alias("start"), (start + WINDOW).cast("int").alias("stop"))
+def _long_repeats(windows: DataFrame) -> DataFrame:
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.count("*").alias("times"))
+    met = hot_join(windows, least.where("times > 1"), "window", "times", windows.count()).where("doc_id > least")
+    spans = F.transform("starts", lambda s: F.struct(s.alias("start"), (s + WINDOW).alias("stop")))
+    return met.select("doc_id", spans.alias("spans"))
 
 
 def _kept(found: DataFrame) -> DataFrame:
@@ -229,10 +230,10 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     found = stored(given.select("doc_id", "hash", "text").join(places, ["doc_id", "hash"]), "repeat-texts")
     size = places.select(F.explode("places").alias("p")).groupBy("p.long").count().collect()
     n_rows = {r["long"]: r["count"] for r in size}
-    gone = _short_repeats(_suffixes(found, False), n_rows.get(False, 0))
+    gone = _short_repeats(_suffixes(found, False), n_rows.get(False, 0)).select("doc_id", F.array(F.struct("start", "stop")).alias("spans"))
     if n_rows.get(True):
-        gone = gone.unionByName(_long_repeats(stored(_suffixes(found, True), "repeat-long"), n_rows[True]))
-    gone = stored(gone, "repeat-gone").groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("gone"))
+        gone = gone.unionByName(_long_repeats(stored(_suffixes(found, True), "repeat-long")))
+    gone = stored(gone, "repeat-gone").groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("gone"))
     cut = _kept(found.join(gone, "doc_id"))
     if not with_text:
         cut = cut.drop("kept")
