@@ -82,22 +82,30 @@ def _unparsed(text: Column, parsed: Column) -> Column:
     return text.isNotNull() & parsed.isNull()
 
 
-def read_geojson(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+def read_features(spark: SparkSession, path: str, by_line: bool = False) -> Landed:
     """Features as (postcode, geometry); the geometry stays raw JSON text.
 
-    A FeatureCollection is one JSON document and thus one task per file: land large areas as
-    several files, or as one feature per line (`by_line`), which splits anywhere.
+    A FeatureCollection is one JSON document, parsed by one task per file, and its features are
+    then dealt out; one feature per line (`by_line`) splits anywhere. Text that is no JSON and
+    features with a postcode but no geometry are rejected.
     """
     properties = "STRUCT<postcode: STRING, properties: STRUCT<postcode: STRING>>"
-    if by_line:
-        schema = f"properties {properties}, geometry STRING"
-        features = spark.read.schema(schema).json(path)
-    else:
-        schema = f"features ARRAY<STRUCT<properties: {properties}, geometry: STRING>>"
-        collections = spark.read.option("multiLine", True).schema(schema).json(path)
-        features = collections.select(F.inline("features"))
+    feature = StructType.fromDDL(f"properties {properties}, geometry STRING")
+    body = feature.fields if by_line else [StructField("features", ArrayType(feature), True)]
+    good, broken = _parsed(responses(spark.read, path, not by_line), body)
+    if not by_line:  # of a collection, the broken feature is told and not the whole file again
+        good = good.select("file", F.explode("features").alias("feature"))
+        good = good.select("file", F.to_json("feature").alias("record"), "feature.*")
     postcode = F.coalesce("properties.postcode", "properties.properties.postcode", F.lit(""))
-    return features.select(postcode.alias("postcode"), "geometry")
+    rows = good.select("file", "record", postcode.alias("postcode"), "geometry")
+    lacking = (F.col("postcode") != "") & F.col("geometry").isNull()
+    landed = _split(rows, broken, F.when(lacking, F.lit("no geometry")))
+    return landed if by_line else Landed(landed.rows.repartition("postcode"), landed.rejected)
+
+
+def read_geojson(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """The good features of `read_features`."""
+    return read_features(spark, path, by_line).rows
 
 
 def read_stations(spark: SparkSession, path: str, whole_files: bool = True) -> Landed:
