@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from stationfield.llm.common import ODD, by_batches, mixed, packed, within
 
 SPACE = "▁"
-#: Units a worker remembers before it begins anew, and pairs of pieces.
+#: Units a worker remembers before it begins anew.
 MEMORY_UNITS = 300_000
-MEMORY_PAIRS = 2_000_000
+#: Pairs of pieces it remembers, as a power of two.
+PAIR_BITS = 21
 #: Substrings looked up at a time.
 AT_ONCE = 2_000_000
 
@@ -88,7 +89,8 @@ class Pieces:
         order = np.argsort(keys)
         self._keys, self._ids = keys[order], ids[order]
         self._units: dict[str, tuple[int, ...]] = {}
-        self._pairs: dict[int, bool] = {}
+        self._pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
+        self._pair_stays = np.zeros(1 << PAIR_BITS, bool)
 
     def merged(self, text: str) -> list[int]:
         """The pieces of a short text by merging the best pair, leftmost first; -1 for none."""
@@ -104,21 +106,30 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _stays(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """Whether merging leaves piece `after` beside piece `before` (-1: nothing there to merge with)."""
+        """Whether merging leaves piece `after` beside piece `before` (-1: nothing there to merge with).
+
+        Answers are remembered in a table of fixed size, a pair in the slot its hash names; the
+        pair that comes later takes the slot.
+        """
         out = np.ones(len(before), bool)
         both = np.flatnonzero(before >= 0)
         keys = before[both] * (1 << 20) + after[both]
-        some, inverse = np.unique(keys, return_inverse=True)
-        pairs, answers = self._pairs, np.empty(len(some), bool)
-        if len(pairs) > MEMORY_PAIRS:
-            pairs.clear()
-        for k, key in enumerate(some.tolist()):
-            known = pairs.get(key)
-            if known is None:
+        slots = ((keys.view(np.uint64) * ODD) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        known = self._pair_keys[slots] == keys
+        answers = self._pair_stays[slots]
+        new = np.flatnonzero(~known)
+        if len(new):
+            some, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
+            names = self.names
+            fresh = np.empty(len(some), bool)
+            for k, key in enumerate(some.tolist()):
                 a, b = key >> 20, key & ((1 << 20) - 1)
-                known = pairs[key] = self.merged(self.names[a] + self.names[b]) == [a, b]
-            answers[k] = known
-        out[both] = answers[inverse]
+                fresh[k] = self.merged(names[a] + names[b]) == [a, b]
+            answers[new] = fresh[inverse]
+            # of several new pairs for one slot, key and answer of the same one are kept
+            slot, which = np.unique(slots[new[first]], return_index=True)
+            self._pair_keys[slot], self._pair_stays[slot] = some[which], fresh[which]
+        out[both] = answers
         return out
 
     def _search(self, units: list[str]) -> list[tuple[int, ...]]:
