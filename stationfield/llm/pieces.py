@@ -257,10 +257,23 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
     return given.mapInArrow(run, f"row {given.schema['row'].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, ids, n_ids, and the SHA-256 of the text decoded from them."""
-    ids = encode(docs.select("doc_id", "text"))
-    back = decode(ids.select("row.doc_id", "ids"))
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Per document: doc_id, ids, n_ids, and the SHA-256 of the text decoded from them.
+
+    Encoding and decoding share a task, so ids cross to Spark once and a worker holds one model.
+    """
+    path = path or model_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(path)
+        for batch in by_batches(batches, 500):
+            ids, starts = model.encode(batch.column("text").to_pylist())
+            null = batch.column("text").is_null()
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids), mask=null)
+            texts = [None if x is None else model.decode(x) for x in lists.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "back"])
+
+    back = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>, back string")
     return back.select(
-        "row.doc_id", "row.ids", F.coalesce(F.size("row.ids"), F.lit(0)).alias("n_ids"), F.sha2("text", 256).alias("decoded_sha256")
+        "doc_id", "ids", F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).alias("n_ids"), F.sha2("back", 256).alias("decoded_sha256")
     )
