@@ -4,7 +4,8 @@ Groups go in order of falling size, each into the open bin with the least room t
 it, found in a balanced tree (a treap) of bins by room. No task sees all groups: each of many
 tasks packs the groups dealt to it into small bins of a fixed capacity, and these bins are the
 items of the next level, until so few are left that one task packs them into the shards. There
-the smallest capacity that needs no more than the wished number of shards is searched for.
+items above the even share have a shard each, and for the others the smallest capacity that needs
+no more than the remaining shards is searched for.
 """
 
 from __future__ import annotations
@@ -85,8 +86,45 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
+def even_share(largest: np.ndarray, total: int, n: int) -> tuple[int, int, int]:
+    """How many items, the largest, have a shard of their own, and bytes and shards for the others.
+
+    An item has one if it is above the even share of what is left without the items before it.
+    `largest` are the sizes in falling order, of which the first `n` - 1 are enough.
+    """
+    alone = 0
+    for size in largest.tolist():
+        if size * (n - alone) <= total:
+            break
+        total -= size
+        alone += 1
+    return alone, total, n - alone
+
+
 def into_shards(sizes: np.ndarray, n: int) -> np.ndarray:
-    """The shard of each item, by the smallest capacity found with which best fit needs `n` bins."""
+    """The shard of each item: items above the even share alone, the others by best fit.
+
+    No shard stays empty as long as another has two items.
+    """
+    order = np.argsort(-sizes, kind="stable")
+    alone, _, left = even_share(sizes[order], int(sizes.sum()), n)
+    bins = np.empty(len(sizes), np.int64)
+    bins[order[:alone]] = np.arange(alone)
+    others = np.sort(order[alone:])
+    if len(others):
+        bins[others] = alone + _least_capacity(sizes[others], left)
+    load, count = np.bincount(bins, sizes, n), np.bincount(bins, minlength=n)
+    while not count.all() and count.max() > 1:
+        full = int(np.where(count > 1, load, -1).argmax())
+        inside = np.flatnonzero(bins == full)
+        half = into_shards(sizes[inside], 2) == 1
+        bins[inside[half]] = count.argmin()
+        load, count = np.bincount(bins, sizes, n), np.bincount(bins, minlength=n)
+    return bins
+
+
+def _least_capacity(sizes: np.ndarray, n: int) -> np.ndarray:
+    """The bin of each item, by the smallest capacity found with which best fit needs `n` bins."""
     low, high = max(-(-int(sizes.sum()) // n), int(sizes.max(initial=1))), None
     best, tried = None, low
     while high is None or high - low > max(1, low // 100_000):
@@ -127,8 +165,11 @@ def shard_groups(groups: DataFrame, n_shards: int) -> DataFrame:
     """
     total, n_items = groups.agg(F.sum("size"), F.count("*")).first()
     maps, items = [], groups
+    if n_items > TASK_ITEMS:
+        largest = groups.orderBy(F.desc("size")).limit(n_shards).select("size").collect()  # at most n_shards sizes
+        _, rest, left = even_share(np.array([r["size"] for r in largest]), total, n_shards)
+        capacity = max(1, rest // (left * FINENESS))
     while n_items > TASK_ITEMS:
-        capacity = max(1, total // (n_shards * FINENESS))
         level = stored(_level(items, n_items, capacity), "shard-level")
         maps.append(level.select("item", F.col("bin").cast("string").alias("up")))
         items = level.groupBy(F.col("bin").cast("string").alias("item")).agg(F.sum("size").alias("size"))
@@ -168,7 +209,8 @@ def shard(docs: DataFrame, n_shards: int = 8, text: str = "text") -> DataFrame:
     """`row`, `group`, `size` and `shard` for every row. Equal texts share a shard.
 
     The size of a row is its text's UTF-8 bytes and 1 more; null texts, a group of their own, count
-    as none. A group larger than an even share makes its shard larger; it is not cut.
+    as none. A group larger than an even share is not cut: it has a shard of its own, larger than the
+    others, which share the remaining bytes evenly.
     """
     key = F.coalesce(F.sha2(F.col(f"`{text}`"), 256), F.lit("null"))
     rows = packed(docs, group=key, size=F.coalesce(F.octet_length(f"`{text}`"), F.lit(0)).cast("long") + 1)

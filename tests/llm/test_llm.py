@@ -93,6 +93,32 @@ def test_best_fit():
     assert np.ptp(np.bincount(sharding.into_shards(np.arange(1, 101), 4), np.arange(1, 101))) <= 2
 
 
+@pytest.mark.parametrize("large", [[1 / 3], [0.2], [0.2, 0.15], [0.9], [0.3, 0.3, 0.3]])
+def test_large_groups_leave_no_shard_empty(large):
+    small = np.arange(1, 2001)
+    sizes = np.concatenate([small, (np.array(large) * small.sum() / (1 - sum(large))).astype(int)])
+    load = np.bincount(sharding.into_shards(sizes, 8), sizes, 8)
+    others = np.sort(load)[: 8 - len(large)]
+    assert sorted(load)[8 - len(large) :] == sorted(sizes[2000:])
+    assert others.max() <= small.sum() / (8 - len(large)) * 1.01 and others.min() > small.sum() / (8 - len(large)) * 0.95
+
+
+def test_few_groups_leave_no_shard_empty():
+    assert sorted(np.bincount(sharding.into_shards(np.full(6, 5), 4), minlength=4)) == [1, 1, 2, 2]
+    assert sorted(np.bincount(sharding.into_shards(np.array([9, 1, 1]), 8), minlength=8)) == [0] * 5 + [1] * 3
+
+
+def test_a_large_group_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TASK_ITEMS", 60)
+    monkeypatch.setattr(sharding, "FINENESS", 4)
+    size = F.when(F.col("id") == 7, 400_000).otherwise(F.col("id") % 50 + 1)
+    groups = spark.range(500).select(F.col("id").cast("string").alias("item"), size.cast("long").alias("size"))
+    placed = sharding.shard_groups(groups, 4).join(groups, "item").groupBy("shard").agg(F.sum("size"), F.count("*")).collect()
+    assert sum(r[2] for r in placed) == 500 and len(placed) == 4
+    loads = sorted(r[1] for r in placed)
+    assert loads[3] == 400_000 and loads[2] - loads[0] < 1100
+
+
 def test_levels_of_shards(spark, monkeypatch):
     monkeypatch.setattr(sharding, "TASK_ITEMS", 60)
     monkeypatch.setattr(sharding, "FINENESS", 4)
