@@ -31,8 +31,6 @@ AS_OF = datetime(2024, 1, 31)
 MID_MONTH = datetime(2024, 1, 15, 6, 30)
 TIEBREAK = ["event_id"]
 DAY_FIELDS = ["temperature", "wind_speed", "sunshine"]
-# Longer than the time the tables span: no reading is too late, whatever order files arrive in.
-WHOLE_SPAN = "60 days"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -527,10 +525,13 @@ def prefix_run_totals(spark, d):
 # -- streaming ---------------------------------------------------------------------------------
 
 
-def _landed_stream(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "stream")
+def _landed_stream(df: DataFrame) -> tuple[DataFrame, str]:
+    """The table landed as files and read as a stream, and the lateness for it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stream")
     df.write.parquet(path)
-    return hourly.read_landing(df.sparkSession, path, df.schema)
+    lateness = hourly.whole_span(spark.read.schema(df.schema).parquet(path))
+    return hourly.read_landing(spark, path, df.schema), lateness
 
 
 def _run(stream: DataFrame, mode: str, key: list[str]) -> DataFrame:
@@ -553,16 +554,16 @@ def _run(stream: DataFrame, mode: str, key: list[str]) -> DataFrame:
 
 @query
 def hourly_window(spark, d):
-    stream = _landed_stream(_synop(spark, d))
-    hours = hourly.station_hours(stream, ["temperature", "sunshine_60"], WHOLE_SPAN)
+    stream, lateness = _landed_stream(_synop(spark, d))
+    hours = hourly.station_hours(stream, ["temperature", "sunshine_60"], lateness)
     return rounded(_run(hours, "update", ["source_id", "timestamp"]))
 
 
 @query
 def stream_dedup(spark, d):
     """Every reading once, although a tenth is delivered twice."""
-    stream = _landed_stream(_synop(spark, d).select("source_id", "timestamp"))
-    once = hourly.drop_redelivered(stream, WHOLE_SPAN)
+    stream, lateness = _landed_stream(_synop(spark, d).select("source_id", "timestamp"))
+    once = hourly.drop_redelivered(stream, lateness)
     sink = scratch_path(spark, "sink")
     started = (
         once.writeStream.outputMode("append").format("parquet").option("path", sink)
@@ -581,7 +582,8 @@ def stream_interpolated(spark, d):
     pairs = materialize(
         transforms.station_pairs(_places(spark, d), _stations(spark, d), "synop"), "pairs"
     )
-    result = hourly.interpolate_stream(_landed_stream(newest), pairs, OBSERVATION, WHOLE_SPAN)
+    stream, lateness = _landed_stream(newest)
+    result = hourly.interpolate_stream(stream, pairs, OBSERVATION, lateness)
     return rounded(_run(result, "update", ["plz", "timestamp"]))
 
 
