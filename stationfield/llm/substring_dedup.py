@@ -90,7 +90,7 @@ def _runs(docs: DataFrame) -> DataFrame:
 
 
 def _suffixes(found: DataFrame, long: bool) -> DataFrame:
-    """(doc_id, text, places) to the rows at these places with their words; or to each text's distinct windows there, as hashes with their starts."""
+    """(doc_id, hash, text, places) to the rows at these places with their words; or to each text's distinct windows there, as hashes with their starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_batches(batches, 500):
@@ -100,7 +100,7 @@ def _suffixes(found: DataFrame, long: bool) -> DataFrame:
             keep = np.fromiter(((t, f) in want for t, f in zip(text.tolist(), first.tolist(), strict=True)), bool, len(text))
             text, first, count, grams = text[keep], first[keep], count[keep], grams[keep]
             start = bounds[:-1][text] + first
-            ids = batch.column("doc_id").take(pa.array(text))
+            names = ["doc_id", "hash"]
             if long:
                 of, at = np.repeat(text, count), np.repeat(start, count) + within(count)
                 whole = gram_hashes(words, WINDOW)[at]
@@ -108,16 +108,16 @@ def _suffixes(found: DataFrame, long: bool) -> DataFrame:
                 of, at, whole = of[order], at[order], whole[order]
                 head = np.flatnonzero(np.concatenate([np.ones(min(len(of), 1), bool), (of[1:] != of[:-1]) | (whole[1:] != whole[:-1])]))
                 starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(of)), pa.int32()), pa.array((at - bounds[:-1][of]).astype(np.int32)))
-                columns = [batch.column("doc_id").take(pa.array(of[head])), pa.array(whole[head].view(np.int64)), starts]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "window", "starts"])
+                columns = [batch.column(c).take(pa.array(of[head])) for c in names] + [pa.array(whole[head].view(np.int64)), starts]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "window", "starts"])
             else:
                 short = words.astype(np.uint32)
                 cut = [short[a : a + n + WINDOW - 1].tobytes() for a, n in zip(start.tolist(), count.tolist(), strict=True)]
-                columns = [ids, pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(cut, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", "run", "words"])
+                columns = [batch.column(c).take(pa.array(text)) for c in names] + [pa.array(first.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(cut, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "first", "run", "words"])
 
-    kind = "doc_id bigint, window bigint, starts array<int>" if long else "doc_id bigint, first int, run bigint, words binary"
-    return found.select("doc_id", "text", "places").mapInArrow(run, kind)
+    kind = "doc_id bigint, hash bigint, window bigint, starts array<int>" if long else "doc_id bigint, hash bigint, first int, run bigint, words binary"
+    return found.select("doc_id", "hash", "text", "places").mapInArrow(run, kind)
 
 
 def deep_nodes(words: np.ndarray, depth: int = WINDOW) -> np.ndarray:
@@ -136,8 +136,8 @@ def deep_nodes(words: np.ndarray, depth: int = WINDOW) -> np.ndarray:
     return rank
 
 
-def repeats_in(doc_id: np.ndarray, first: np.ndarray, run: np.ndarray, words: list[bytes]) -> pd.DataFrame:
-    """Of one task's rows: the windows that also begin in a smaller document, as (doc_id, start, stop)."""
+def repeats_in(doc_id: np.ndarray, hash_: np.ndarray, first: np.ndarray, run: np.ndarray, words: list[bytes]) -> pd.DataFrame:
+    """Of one task's rows: the windows that also begin in a smaller document, as (doc_id, hash, start, stop)."""
     lengths = np.fromiter((len(w) // 4 for w in words), np.int64, len(words))
     n_windows = lengths - WINDOW + 1
     row = np.repeat(np.arange(len(words)), n_windows)
@@ -152,12 +152,15 @@ def repeats_in(doc_id: np.ndarray, first: np.ndarray, run: np.ndarray, words: li
     again[order] = doc_id[row][order] > smallest
     row, start = row[again], first[row[again]] + nth[again]
     if not len(row):
-        return pd.DataFrame({"doc_id": [], "start": [], "stop": []}).astype({"doc_id": "int64", "start": "int32", "stop": "int32"})
+        return pd.DataFrame({"doc_id": [], "hash": [], "start": [], "stop": []}).astype({"doc_id": "int64", "hash": "int64", "start": "int32", "stop": "int32"})
     turn = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)])
     head = np.flatnonzero(turn)
     tail = np.append(head[1:], len(row)) - 1
     return pd.DataFrame(
-        {"doc_id": doc_id[row[head]], "start": start[head].astype(np.int32), "stop": (start[tail] + WINDOW).astype(np.int32)}
+        {
+            "doc_id": doc_id[row[head]], "hash": hash_[row[head]],
+            "start": start[head].astype(np.int32), "stop": (start[tail] + WINDOW).astype(np.int32),
+        }
     )
 
 
@@ -166,16 +169,16 @@ def _short_repeats(rows: DataFrame, n_rows: int) -> DataFrame:
         got = [b for b in batches if len(b)]
         if got:
             p = pd.concat(got, ignore_index=True)
-            yield repeats_in(p["doc_id"].to_numpy(), p["first"].to_numpy(), p["run"].to_numpy(), p["words"].tolist())
+            yield repeats_in(p["doc_id"].to_numpy(), p["hash"].to_numpy(), p["first"].to_numpy(), p["run"].to_numpy(), p["words"].tolist())
 
-    return rows.repartition(parts(n_rows, TASK_ROWS), "run").mapInPandas(run, "doc_id bigint, start int, stop int")
+    return rows.repartition(parts(n_rows, TASK_ROWS), "run").mapInPandas(run, "doc_id bigint, hash bigint, start int, stop int")
 
 
 def _long_repeats(windows: DataFrame) -> DataFrame:
     least = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.count("*").alias("times"))
     met = hot_join(windows, least.where("times > 1"), "window", "times", windows.count()).where("doc_id > least")
     spans = F.transform("starts", lambda s: F.struct(s.alias("start"), (s + WINDOW).alias("stop")))
-    return met.select("doc_id", spans.alias("spans"))
+    return met.select("doc_id", "hash", spans.alias("spans"))
 
 
 def _kept(found: DataFrame) -> DataFrame:
@@ -230,11 +233,11 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     found = stored(given.select("doc_id", "hash", "text").join(places, ["doc_id", "hash"]), "repeat-texts")
     size = places.select(F.explode("places").alias("p")).groupBy("p.long").count().collect()
     n_rows = {r["long"]: r["count"] for r in size}
-    gone = _short_repeats(_suffixes(found, False), n_rows.get(False, 0)).select("doc_id", F.array(F.struct("start", "stop")).alias("spans"))
+    gone = _short_repeats(_suffixes(found, False), n_rows.get(False, 0)).select("doc_id", "hash", F.array(F.struct("start", "stop")).alias("spans"))
     if n_rows.get(True):
         gone = gone.unionByName(_long_repeats(stored(_suffixes(found, True), "repeat-long")))
-    gone = stored(gone, "repeat-gone").groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("gone"))
-    cut = _kept(found.join(gone, "doc_id"))
+    gone = stored(gone, "repeat-gone").groupBy("doc_id", "hash").agg(F.flatten(F.collect_list("spans")).alias("gone"))
+    cut = _kept(found.join(gone, ["doc_id", "hash"]))
     if not with_text:
         cut = cut.drop("kept")
     cut = stored(cut.dropDuplicates(["doc_id", "hash"]), "repeat-cut").withColumnRenamed("sha", "cut_sha")

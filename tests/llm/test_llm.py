@@ -162,6 +162,17 @@ def test_substring_dedup(docs, monkeypatch, long_prefix):
         assert (n, removed, sha) == (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()), i
 
 
+@pytest.mark.parametrize("long_prefix", [5000, 1])
+def test_substring_dedup_with_two_texts_of_one_id(spark, monkeypatch, long_prefix):
+    monkeypatch.setattr(substring_dedup, "LONG_PREFIX", long_prefix)
+    other = " ".join(f"other{i}" for i in range(120))
+    rows = [(1, "a " + PASSAGE), (2, "b c " + PASSAGE + " d"), (2, other), (3, other + " e")]
+    out = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out.collect())
+    sha = [hashlib.sha256(t.encode()).hexdigest() for t in (rows[0][1], "b c d", other, "e")]
+    assert got == [(1, 61, 0, sha[0]), (2, 63, 60, sha[1]), (2, 120, 0, sha[2]), (3, 121, 120, sha[3])]
+
+
 def test_secret_scan(spark):
     body = "A1" * 15
     token = "ghp_" + body + secret_scan.checksum62(body.encode())
