@@ -1,17 +1,17 @@
-"""Repeated passages by prefix-partitioned suffix trees over words.
+"""Repeated passages by minimizer groups of word windows, in place of prefix-partitioned suffix trees.
 
 A suffix is what begins at a word; only its first 50 words matter here. Suffixes are dealt to
-groups by a prefix, each group fits a task's memory, and in each the truncated suffixes are put in
-order: an inner node of the group's subtree at depth 50 or more is a run of neighbours in that
+groups by a run of words, each group fits a task's memory, and in each the truncated suffixes are put in
+order: what would be an inner node at depth 50 or more is a run of neighbours in that
 order that agree in 50 words, found by doubling (order by 2, 4, 8, ... words). A node's windows are
 repeats, of which the smallest document keeps its own.
 
 To ship each word to few groups rather than 50, a window is not grouped by its first words but by
 its least 25-word run (by hash, leftmost), which is the same run for equal windows and for most
 neighbours: a row carries all windows that share it. Runs that occur in one text only cannot be
-part of a repeat and are left out by counting first. Prefixes have variable length: a run found
-more than `LONG_PREFIX` times is lengthened to the whole 50 words, whose groups are
-single nodes and need no more than the smallest document, added up before the shuffle. A text
+part of a repeat and are left out by counting first. A run found
+more than `LONG_PREFIX` times is replaced by the hash of the whole 50 words, whose groups
+need no more than the smallest document, added up before the shuffle. A text
 gives each of its distinct windows once, with all places.
 
 Runs and whole windows are told apart by 64-bit hashes, the words around a run by 32 bits each.
