@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from stationfield.functions.geo import Grid, great_circle_km
 from stationfield.operators.versions import first_seen
 from stationfield.session import BROADCAST_ROWS, fits, materialize
 
+log = logging.getLogger(__name__)
+
 CELL = ["_band", "_column"]
 # A cell with more places or stations than this is cut into blocks, so that no task compares more
 # than BLOCK x BLOCK of them.
@@ -20,20 +24,31 @@ RING_KM = 0.25
 
 
 def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Rows with real coordinates; others are near nothing."""
-    return df.where(F.col(lat).between(-90.0, 90.0) & F.abs(F.col(lon)).between(0.0, 540.0))
+    """Rows with real coordinates; others are near nothing, and their number is logged."""
+    real = F.col(lat).between(-90.0, 90.0) & (F.abs(F.col(lon)) < F.lit(float("inf")))
+    rejected = df.where(~F.coalesce(real, F.lit(False))).count()
+    if rejected:
+        log.warning("%d rows without a finite %s and a %s within 90 degrees", rejected, lon, lat)
+    return df.where(real)
+
+
+def _wrapped(lon: str) -> Column:
+    """The longitude, modulo 360 if it is far round the globe."""
+    return F.when(F.abs(F.col(lon)) <= 540.0, F.col(lon)).otherwise(
+        F.pmod(F.col(lon), F.lit(360.0))
+    )
 
 
 def _in_every_cell_around(df: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
     banded = df.withColumn("_band", F.explode(grid.bands_around(F.col(lat))))
-    around = grid.columns_around(F.col(lat), F.col(lon), F.col("_band"))
+    around = grid.columns_around(F.col(lat), _wrapped(lon), F.col("_band"))
     return banded.withColumn("_column", F.explode(around)).withColumn(
         "_column", F.pmod("_column", grid.columns_in(F.col("_band")))
     )
 
 
 def _in_own_cell(df: DataFrame, grid: Grid, lat: str, lon: str) -> DataFrame:
-    band, column = grid.cell_of(F.col(lat), F.col(lon))
+    band, column = grid.cell_of(F.col(lat), _wrapped(lon))
     return df.withColumns({"_band": band, "_column": column})
 
 
@@ -94,7 +109,7 @@ def radius_join(
         probe, build = _cut_hot_cells(probe, build, F.col("plz"), F.col("source_id"))
         candidates = probe.join(build, [*CELL, "_p_block", "_s_block"]).drop("_p_block", "_s_block")
     distance = great_circle_km(
-        F.col("centroid_lat"), F.col("centroid_lon"), F.col("lat"), F.col("lon")
+        F.col("centroid_lat"), _wrapped("centroid_lon"), F.col("lat"), _wrapped("lon")
     )
     return (
         candidates.drop(*CELL)

@@ -64,6 +64,13 @@ def test_radius_join_equals_brute_force(spark, region, few_stations, monkeypatch
     assert got
 
 
+def test_radius_join_keeps_finite_longitudes_and_logs_the_rest(spark, caplog):
+    p = places(spark, [("a", 50.0, 10.0), ("b", 50.0, 730.0)])
+    s = stations(spark, [(1, 50.0, 10.01 - 1080.0), (2, 50.0, float("inf")), (3, 91.0, 10.0)])
+    assert ids(radius.radius_join(p, s, 10.0)) == {("a", 1), ("b", 1)}
+    assert [r.args[0] for r in caplog.records if r.name == radius.__name__] == [2]
+
+
 def test_radius_join_edge_and_bad_coordinates(spark):
     p = places(spark, [("a", 50.0, 10.0), ("b", None, 10.0), ("c", float("nan"), 10.0)])
     step = 10.0 / 111.19492664
