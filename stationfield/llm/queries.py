@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationfield.llm import exact_dedup, neighbours, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter
+from stationfield.llm import (
+    alignment, exact_dedup, exact_search, neighbours, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup,
+    url_filter, whitening,
+)
 from stationfield.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +124,32 @@ def op1_pieces(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op6_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.nearest(table(spark, d, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+@query
+def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.digest(table(spark, d, "documents"))
+
+
+@query
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
+@query
+def op13_exact_search(spark: SparkSession, d: str) -> DataFrame:
+    return exact_search.nearest(table(spark, d, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+ORACLE["op13_exact_search"] = """
+WITH e AS (
+  SELECT DISTINCT vec_id, [floor(CAST(c AS DOUBLE) * 256.0E0) FOR c IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([1 FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+) WHERE rank <= 5
+"""
