@@ -157,7 +157,7 @@ def brute_whitening(rows):
     values[: len(sigma)] = sigma**2 / n
     centred = np.array([[float(n * c - s) for c, s in zip(v, sums, strict=True)] for v in x]) / n
     deviation = [sum((n * c - s) ** 2 for c, s in zip(v, sums, strict=True)) for v in x]
-    return n, deviation, centred, values, axes.T
+    return n, [d if d < 1 << 63 else None for d in deviation], centred, values, axes.T
 
 
 def check_whitening(out, rows, most=16):
