@@ -40,6 +40,8 @@ WHITE = "\t\n\v\f\r \x85\xa0  -     　"
 PAIR = 1 << 20
 #: Units a worker remembers in each of two generations.
 MEMORY_UNITS = 100_000
+#: Units put into one text for A.
+UNITS_AT_ONCE = 64
 BATCH_ROWS = 400
 
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -110,8 +112,9 @@ def common_ends(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray)
     return index_a[order], index_b[order]
 
 
-#: What is known of a unit: ids of A and of B, how many of each lie up to each common end, and the groups in writing.
-Unit = tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...], tuple[int, ...], bytes]
+#: What is known of a unit: numbers of ids of A and of B, the groups in writing, each closed by a
+#: semicolon, and the linked pairs as 64-bit numbers.
+Unit = tuple[int, int, bytes, bytes]
 
 
 class Tokens:
@@ -142,7 +145,12 @@ class Tokens:
         more = f"(?:[{joined}][{WHITE}]*[^{WHITE}]*)*" if joined else ""
         kind = type(self.a.pre_tokenizer).__name__
         plain = kind == "ByteLevel" and self.a.normalizer is None
+        self._plain = plain
         self._units = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+" if plain else "(?s).+").findall
+        # ids in writing with what follows them: a comma, or at the end of a group a bar (A) or a semicolon (B)
+        written = [f"{i}{c}" for i in range(len(self.bytes_a)) for c in ",|"] + [f"{i}{c}" for i in range(len(self.bytes_b)) for c in ",;"]
+        self._written = written
+        self._written_size = np.array([len(x) for x in written], np.int64)
         self._young: dict[str, Unit | None] = {}
         self._old: dict[str, Unit | None] = {}
 
@@ -156,38 +164,71 @@ class Tokens:
             n += sum(known.get(x[k:], 0) for x in mine for k in range(from_, len(x)))
         return n
 
+    def _ids_a(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of all units one after another, and how many each has; `sizes` are the units' bytes.
+
+        Units that end in other than white space can be encoded one after another in one text, as they stand in documents.
+        """
+        closed = [self._plain and u[-1] not in WHITE for u in units]
+        order = [k for k, c in enumerate(closed) if c] + [k for k, c in enumerate(closed) if not c]
+        n_closed = sum(closed)
+        texts = ["".join([units[k] for k in order[a : min(a + UNITS_AT_ONCE, n_closed)]]) for a in range(0, n_closed, UNITS_AT_ONCE)]
+        texts += [units[k] for k in order[n_closed:]]
+        ids = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+        order = np.array(order, np.int64)
+        ends, wanted = np.cumsum(self.size_a[flat]), np.cumsum(sizes[order])
+        last = np.searchsorted(ends, wanted)
+        if len(wanted) and not (last[-1] < len(ends) and (ends[last] == wanted).all()):
+            raise ValueError("tokenizer A joins bytes over the end of a unit, or leaves some out")
+        stop = last + 1
+        n = np.empty(len(units), np.int64)
+        n[order] = np.diff(stop, prepend=0)
+        start = np.empty(len(units), np.int64)
+        start[order] = stop - n[order]
+        return flat[np.repeat(start, n) + within(n)], n
+
+    def _spells(self, spelled: list[bytes], sizes: np.ndarray, table: list[bytes], ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """For each unit whether the bytes of its ids are its own."""
+        whole = b"".join(map(table.__getitem__, ids.tolist()))
+        lengths = np.fromiter(map(len, map(table.__getitem__, ids.tolist())), np.int64, len(ids))
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(n)]
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        right = ends - starts == sizes
+        if right.all() and whole == b"".join(spelled):
+            return right
+        return np.fromiter((whole[x:y] == u for x, y, u in zip(starts.tolist(), ends.tolist(), spelled, strict=True)), bool, len(spelled))
+
     def _aligned(self, units: list[str]) -> list[Unit | None]:
         """Distinct units encoded and aligned; None where the bytes of A or B are not those of the unit."""
+        if not units:
+            return []
         spelled = [u.encode() for u in units]
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1)
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        right = [
-            b"".join([bytes_a[i] for i in x]) == u and b"".join([bytes_b[i] for i in y]) == u for u, x, y in zip(spelled, a, b, strict=True)
-        ]
-        good = [k for k, ok in enumerate(right) if ok]
-        n_a, n_b = (np.fromiter((len(ids[k]) for k in good), np.int64, len(good)) for ids in (a, b))
-        flat_a = np.fromiter(chain.from_iterable(a[k] for k in good), np.int64, int(n_a.sum()))
-        flat_b = np.fromiter(chain.from_iterable(b[k] for k in good), np.int64, int(n_b.sum()))
-        in_a, in_b = common_ends(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]), n_a, n_b)
-        bounds = np.searchsorted(in_a, np.cumsum(n_a))
-        ranks_a, ranks_b = (in_a + 1).tolist(), (in_b + 1).tolist()
-        out: list[Unit | None] = [None] * len(units)
-        from_, at_a, at_b = 0, 0, 0
-        for k, to in zip(good, bounds.tolist(), strict=True):
-            x, y = a[k], b[k]
-            up_a, up_b = [r - at_a for r in ranks_a[from_:to]], [r - at_b for r in ranks_b[from_:to]]
-            if to - from_ == 1:
-                written = f"{','.join(map(str, x))}|{','.join(map(str, y))}"
-            else:
-                p = q = 0
-                groups = []
-                for i, j in zip(up_a, up_b, strict=True):
-                    groups.append(f"{','.join(map(str, x[p:i]))}|{','.join(map(str, y[q:j]))}")
-                    p, q = i, j
-                written = ";".join(groups)
-            out[k] = (tuple(x), tuple(y), tuple(up_a), tuple(up_b), written.encode())
-            from_, at_a, at_b = to, at_a + len(x), at_b + len(y)
+        sizes = np.fromiter(map(len, spelled), np.int64, len(units))
+        a, n_a = self._ids_a(units, sizes)
+        lists = self.b.encode(units, num_threads=1)
+        n_b = np.fromiter(map(len, lists), np.int64, len(units))
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(n_b.sum()))
+        right = self._spells(spelled, sizes, self.bytes_a, a, n_a) & self._spells(spelled, sizes, self.bytes_b, b, n_b)
+        if not right.all():
+            a, b = a[np.repeat(right, n_a)], b[np.repeat(right, n_b)]
+            n_a, n_b = np.where(right, n_a, 0), np.where(right, n_b, 0)
+        in_a, in_b = common_ends(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), n_a, n_b)
+        # tokens in the order in which they are written: by group, those of A before those of B
+        closes_a, closes_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        closes_a[in_a], closes_b[in_b] = 1, 1
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        which = np.concatenate([2 * a + closes_a, 2 * len(self.bytes_a) + 2 * b + closes_b])[order]
+        text = "".join(map(self._written.__getitem__, which.tolist())).encode()
+        ends = np.concatenate([[0], np.cumsum(self._written_size[which])])[np.cumsum(n_a + n_b)].tolist()
+        pairs = (a[in_a] * PAIR + b[in_b]).tobytes()
+        links = (8 * np.searchsorted(in_a, np.cumsum(n_a))).tolist()
+        out: list[Unit | None] = []
+        at = link = 0
+        for ok, i, j, end, to in zip(right.tolist(), n_a.tolist(), n_b.tolist(), ends, links, strict=True):
+            out.append((i, j, text[at:end], pairs[link:to]) if ok else None)
+            at, link = end, to
         return out
 
     def known(self, units: list[str]) -> list[Unit | None]:
@@ -250,10 +291,11 @@ def align(docs: DataFrame, text: str = "text", path_a: str | None = None, path_b
                 found = tokens.known(list(codes))
                 a, b, groups = [], [], []
                 if None not in found:
-                    for x, y, up_a, up_b, _ in (found[p] for p in places):
+                    for group in b"".join([found[p][2] for p in places]).decode().split(";")[:-1]:
+                        x, y = ([int(i) for i in side.split(",")] for side in group.split("|"))
                         a += x
                         b += y
-                        groups += zip(np.diff(up_a, prepend=0).tolist(), np.diff(up_b, prepend=0).tolist(), strict=True)
+                        groups.append((len(x), len(y)))
                 rows.append((a, b, groups))
             kind = pa.list_(pa.struct([("n_a", pa.int32()), ("n_b", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
@@ -285,13 +327,12 @@ def links(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path_a: s
             bad = np.fromiter((u is None for u in found), bool, len(found))
             if bad.any():
                 lists = [[] if any(found[p] is None for p in places) else places for places in lists]
-                found = [u or ((), (), (), (), b"") for u in found]
-            n_a, n_b, n_groups = (np.fromiter((len(u[k]) for u in found), np.int64, len(found)) for k in (0, 1, 2))
-            keys = np.fromiter(
-                (x[i - 1] * PAIR + y[j - 1] for x, y, up_a, up_b, _ in found for i, j in zip(up_a, up_b, strict=True)), np.int64, int(n_groups.sum())
-            )
-            written = [u[4] for u in found]
-            shas = [hashlib.sha256(b";".join([written[p] for p in places])).hexdigest() if places else "" for places in lists]
+                found = [u or (0, 0, b"", b"") for u in found]
+            n_a, n_b = (np.fromiter((u[k] for u in found), np.int64, len(found)) for k in (0, 1))
+            n_groups = np.fromiter((len(u[3]) >> 3 for u in found), np.int64, len(found))
+            keys = np.frombuffer(b"".join([u[3] for u in found]), np.int64)
+            written = [u[2] for u in found]
+            shas = [hashlib.sha256(b"".join([written[p] for p in places])[:-1]).hexdigest() if places else "" for places in lists]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum()))
             ends = np.concatenate([[0], np.cumsum(lengths)])
