@@ -86,23 +86,98 @@ def rings_of(geometry_json: Column) -> Column:
     )
 
 
-def area_centroid(polygons: Column) -> Column:
-    """Struct (lon, lat) of the area centroid in the cylindrical equal-area plane of the sphere.
+@dataclass(frozen=True)
+class Figure:
+    """An earth with its equal-area latitude: a sphere where the eccentricity is 0, else an ellipsoid.
+
+    In the cylindrical equal-area plane a point lies at its longitude in radians and at `height` of its
+    latitude, half the authalic q. On a sphere that is the sine.
+    """
+
+    eccentricity_squared: float = 0.0
+
+    @property
+    def _e(self) -> float:
+        return math.sqrt(self.eccentricity_squared)
+
+    def height(self, lat: Column) -> Column:
+        """From degrees of latitude to the plane."""
+        sine = F.sin(F.radians(lat))
+        e2, e = self.eccentricity_squared, self._e
+        if not e2:
+            return sine
+        logarithm = F.log((F.lit(1.0) + sine * e) / (F.lit(1.0) - sine * e)) / (2.0 * e)
+        return (sine / (F.lit(1.0) - sine * sine * e2) + logarithm) * ((1.0 - e2) / 2.0)
+
+    def latitude(self, height: Column) -> Column:
+        """The inverse of `height`, in degrees. The authalic latitude is corrected by its series in
+        powers of the eccentricity up to the eighth; the error stays below 1e-10 degrees."""
+        e2 = self.eccentricity_squared
+        if not e2:
+            return F.degrees(F.asin(height))
+        e, e4, e6, e8 = self._e, e2**2, e2**3, e2**4
+        pole = (1.0 - e2) / 2.0 * (1.0 / (1.0 - e2) + math.log((1.0 + e) / (1.0 - e)) / (2.0 * e))
+        authalic = F.asin(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), height / pole)))
+        # The series of the latitude in sines of multiples of the authalic latitude.
+        terms = {
+            2: e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040 + 120389 * e8 / 1814400,
+            4: 23 * e4 / 360 + 251 * e6 / 3780 + 102287 * e8 / 1814400,
+            6: 761 * e6 / 45360 + 47561 * e8 / 1814400,
+            8: 6059 * e8 / 1209600,
+        }
+        corrected = authalic
+        for multiple, term in terms.items():
+            corrected = corrected + F.sin(authalic * float(multiple)) * term
+        return F.degrees(corrected)
+
+
+SPHERE = Figure()
+# Fixed value: the first eccentricity of WGS 84, squared.
+WGS84 = Figure(0.00669437999014132)
+
+
+def dense(ring: Column, max_edge_degrees: float) -> Column:
+    """The ring with every longer edge cut evenly, so that no piece spans more degrees than that in
+    longitude or latitude. An edge is straight in longitude and latitude; in the plane it is a curve,
+    of which the corners of the ring alone give the chord. Short edges stay as they are."""
+
+    def pieces(p: Column, i: Column) -> Column:
+        to = F.coalesce(F.get(ring, i + 1), ring[0])
+        span = F.greatest(F.abs(to[0] - p[0]), F.abs(to[1] - p[1]))
+        cuts = F.greatest(F.lit(1), F.ceil(span / F.lit(max_edge_degrees)).cast("int"))
+
+        def at(k: Column) -> Column:
+            part = k.cast("double") / cuts
+            return F.array(p[0] + (to[0] - p[0]) * part, p[1] + (to[1] - p[1]) * part)
+
+        return F.transform(F.sequence(F.lit(0), cuts - 1), at)
+
+    return F.flatten(F.transform(ring, pieces))
+
+
+def densified(polygons: Column, max_edge_degrees: float) -> Column:
+    return F.transform(
+        polygons, lambda polygon: F.transform(polygon, lambda ring: dense(ring, max_edge_degrees))
+    )
+
+
+def area_centroid(polygons: Column, figure: Figure = SPHERE) -> Column:
+    """Struct (lon, lat) of the area centroid in the cylindrical equal-area plane.
 
-    In that plane (longitude in radians, sine of latitude) the signed areas and first moments of
+    In that plane (longitude in radians, height of the latitude) the signed areas and first moments of
     the rings add up. Exterior rings add and holes take away, whichever way round they are drawn.
     Each ring is passed over once, from its last point round to its last point; coordinates are
     relative to the first point, as differences of large products would lose digits.
     """
     origin = polygons[0][0][0]
-    lon0, y0 = F.radians(origin[0]), F.sin(F.radians(origin[1]))
+    lon0, y0 = F.radians(origin[0]), figure.height(origin[1])
     zero = F.lit(0.0)
 
     def x_of(point: Column) -> Column:
         return F.radians(point[0]) - lon0
 
     def y_of(point: Column) -> Column:
-        return F.sin(F.radians(point[1])) - y0
+        return figure.height(point[1]) - y0
 
     def step(acc: Column, point: Column) -> Column:
         cross = acc["x"] * point["y"] - point["x"] * acc["y"]
@@ -138,7 +213,7 @@ def area_centroid(polygons: Column) -> Column:
         add,
         lambda acc: F.struct(
             F.degrees(lon0 + F.try_divide(acc["mx"], acc["area"] * 3.0)).alias("lon"),
-            F.degrees(F.asin(y0 + F.try_divide(acc["my"], acc["area"] * 3.0))).alias("lat"),
+            figure.latitude(y0 + F.try_divide(acc["my"], acc["area"] * 3.0)).alias("lat"),
         ),
     )
 

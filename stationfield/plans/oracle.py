@@ -204,6 +204,59 @@ ORACLE["postal_centroids"] = (
     + f" FROM ({duckdb_text('postal_squares')})"
 )
 
+E2 = "0.00669437999014132E0"
+
+
+def _height(lat: str) -> str:
+    """The cylindrical equal-area plane of the ellipsoid."""
+    sine, e = f"sin(radians({lat}))", f"sqrt({E2})"
+    return (
+        f"((1.0E0 - {E2}) / 2.0E0 * ({sine} / (1.0E0 - {E2} * {sine} * {sine}) "
+        f"- ln((1.0E0 - {e} * {sine}) / (1.0E0 + {e} * {sine})) / (2.0E0 * {e})))"
+    )
+
+
+def _ellipsoid_centroid(points: str, name: str, lon: str, lat: str) -> str:
+    """Shoelace sums in the plane; the latitude is found by Newton's steps from the height."""
+    step = (
+        f"lat + degrees((h - {_height('lat')}) * power(1.0E0 - {E2} * power(sin(radians(lat)), 2), 2) "
+        f"/ ((1.0E0 - {E2}) * cos(radians(lat))))"
+    )
+    return f"""{name}_plane AS (SELECT *, radians(x - lon) AS px, {_height('y')} - {_height('lat')} AS py FROM {points}),
+{name}_edges AS (SELECT *, lead(px) OVER w AS qx, lead(py) OVER w AS qy FROM {name}_plane
+  WINDOW w AS (PARTITION BY plz, hole ORDER BY corner, piece)),
+{name}_rings AS (SELECT plz, hole, lon, lat, sum(px * qy - qx * py) AS a, sum((px + qx) * (px * qy - qx * py)) AS mx,
+  sum((py + qy) * (px * qy - qx * py)) AS my FROM {name}_edges WHERE qx IS NOT NULL GROUP BY ALL),
+{name}_sums AS (SELECT plz, lon, lat, sum(sign(a) * CASE WHEN hole THEN -a ELSE a END) AS a,
+  sum(sign(a) * CASE WHEN hole THEN -mx ELSE mx END) AS mx, sum(sign(a) * CASE WHEN hole THEN -my ELSE my END) AS my
+  FROM {name}_rings GROUP BY ALL),
+{name}_0 AS (SELECT plz, lon + degrees(mx / a / 3.0E0) AS {lon}, {_height('lat')} + my / a / 3.0E0 AS h, lat FROM {name}_sums),
+{name}_1 AS (SELECT plz, {lon}, h, {step} AS lat FROM {name}_0),
+{name}_2 AS (SELECT plz, {lon}, h, {step} AS lat FROM {name}_1),
+{name}_3 AS (SELECT plz, {lon}, h, {step} AS lat FROM {name}_2),
+{name} AS (SELECT plz, {lon}, {step} AS {lat} FROM {name}_3)"""
+
+
+ORACLE["centroid_ellipsoid"] = _ctes(
+    f"shapes AS ({duckdb_text('postal_shapes')})",
+    """corners AS (SELECT s.*, r.hole, c.corner, 0 AS piece,
+    s.lon + s.half_width * c.across * r.size + s.slant * s.half_height * c.up * r.size AS x,
+    s.lat + s.half_height * c.up * r.size + s.tilt * s.half_width * c.across * r.size AS y
+  FROM shapes s, (VALUES (FALSE, 1.0E0), (TRUE, 0.5E0)) r(hole, size),
+    (VALUES (0, -1, -1), (1, 1, -1), (2, 1, 1), (3, -1, 1), (4, -1, -1)) c(corner, across, up)
+  WHERE s.has_hole OR NOT r.hole)""",
+    """sides AS (SELECT *, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM corners
+  WINDOW w AS (PARTITION BY plz, hole ORDER BY corner))""",
+    """cut AS (SELECT *, CAST(coalesce(greatest(1, ceil(greatest(abs(x2 - x), abs(y2 - y)) / 0.25E0)), 1) AS BIGINT) AS n FROM sides)""",
+    """pieces AS (SELECT plz, lon, lat, hole, corner, k AS piece, x + coalesce(x2 - x, 0.0E0) * k / n AS x,
+    y + coalesce(y2 - y, 0.0E0) * k / n AS y FROM (SELECT *, unnest(range(n)) AS k FROM cut))""",
+    _ellipsoid_centroid("corners", "plain", "centroid_lon", "centroid_lat"),
+    _ellipsoid_centroid("pieces", "smooth", "edges_lon", "edges_lat"),
+) + (
+    "SELECT p.plz, " + ", ".join(_r(c, c) for c in ("centroid_lon", "centroid_lat", "edges_lon", "edges_lat"))
+    + " FROM plain p JOIN smooth s ON s.plz = p.plz"
+)
+
 _DAY = ["temperature", "wind_speed", "sunshine"]
 ORACLE["idw_mean"] = _ctes(
     PLACES, STATIONS, CURRENT, SYNOP, _pairs("synop"), _readings("obs"),

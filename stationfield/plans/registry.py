@@ -176,10 +176,35 @@ def great_circle_sql(spark, d):
 def postal_centroids(spark, d):
     path = scratch_path(spark, "features")
     _features(derive(spark, d, "postal_squares")).write.text(path)
-    rows = ingest.parse_postal_codes(landing.read_geojson(spark, path, by_line=True))
+    features = landing.read_geojson(spark, path, by_line=True)
+    rows = ingest.parse_postal_codes(features, figure=geo.SPHERE)
     return rounded(rows.select("plz", "note", "centroid_lon", "centroid_lat"))
 
 
+@query
+def centroid_ellipsoid(spark, d):
+    """Slanted quadrilaterals, small ones and ones of many degrees, some with a hole, on WGS 84: with
+    edges straight in the equal-area plane, and with edges straight in longitude and latitude."""
+    shapes = derive(spark, d, "postal_shapes")
+
+    def ring(size: float) -> Column:
+        def corner(across: int, up: int) -> Column:
+            x, y = F.lit(across * size), F.lit(up * size)
+            lon = F.col("lon") + F.col("half_width") * x + F.col("slant") * F.col("half_height") * y
+            return F.array(lon, F.col("lat") + F.col("half_height") * y + F.col("tilt") * F.col("half_width") * x)
+
+        return F.array(*[corner(*c) for c in [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]])
+
+    rings = F.when(F.col("has_hole"), F.array(ring(1.0), ring(0.5))).otherwise(F.array(ring(1.0)))
+    shape = F.to_json(F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")))
+    features = materialize(shapes.select(F.col("plz").alias("postcode"), shape.alias("geometry")), "shapes")
+    plain = ingest.parse_postal_codes(features).select("plz", "centroid_lon", "centroid_lat")
+    smooth = ingest.parse_postal_codes(features, max_edge_degrees=0.25).select(
+        "plz", F.col("centroid_lon").alias("edges_lon"), F.col("centroid_lat").alias("edges_lat")
+    )
+    return rounded(plain.join(smooth, "plz"))
+
+
 def _features(squares: DataFrame) -> DataFrame:
     """GeoJSON features: some as MultiPolygon, some drawn the other way round, some with a hole,
     some with nested properties."""

@@ -92,12 +92,21 @@ SELECT plz, centroid_lon - 0.02E0 AS lon0, centroid_lon + 0.02E0 AS lon1,
   CAST(plz AS BIGINT) % 5 = 0 AS has_hole
 FROM (SELECT {_PLACE} FROM {{customer}}) t"""
 
+# Every fortieth shape spans degrees; slants and tilts turn the sides.
+POSTAL_SHAPES = f"""
+SELECT plz, centroid_lon AS lon, centroid_lat AS lat, CAST(plz AS BIGINT) % 3 = 0 AS has_hole,
+  CASE WHEN CAST(plz AS BIGINT) % 40 = 0 THEN 6.0E0 ELSE 0.01E0 + (CAST(plz AS BIGINT) % 7) * 0.02E0 END AS half_width,
+  CASE WHEN CAST(plz AS BIGINT) % 40 = 0 THEN 4.0E0 ELSE 0.01E0 + (CAST(plz AS BIGINT) % 11) * 0.01E0 END AS half_height,
+  (CAST(plz AS BIGINT) % 5) * 0.2E0 AS slant, (CAST(plz AS BIGINT) % 9) * 0.05E0 AS tilt
+FROM (SELECT {_PLACE} FROM {{customer}}) t"""
+
 FIXTURES = {
     "postal_codes": POSTAL_CODES,
     "weather_stations": WEATHER_STATIONS,
     "weather_observations_synop": OBSERVATIONS_SYNOP,
     "weather_forecasts": FORECASTS,
     "postal_squares": POSTAL_SQUARES,
+    "postal_shapes": POSTAL_SHAPES,
 }
 
 

@@ -174,6 +174,66 @@ def test_centroid_of_other_geometry_is_null(spark):
     assert centroid(spark, text("Point", [13.0, 52.0])) == (None, None)
 
 
+@pytest.mark.parametrize("figure", [geo.SPHERE, geo.WGS84])
+def test_height_and_latitude_are_inverse(spark, figure):
+    lats = [-90.0, -89.9, -45.0, -1e-6, 0.0, 12.3, 50.0, 51.0, 85.0, 90.0]
+    df = spark.createDataFrame([(v,) for v in lats], "lat double")
+    got = df.select("lat", figure.height(F.col("lat")).alias("h")).select("lat", "h", figure.latitude(F.col("h")).alias("back"))
+    for r in got.collect():
+        assert r["back"] == pytest.approx(r["lat"], abs=1e-10 if abs(r["lat"]) < 89 else 1e-6)
+    # The share of the ellipsoid's surface between the equator and 45 degrees, by fine sums.
+    heights = {r["lat"]: r["h"] for r in got.collect()}
+    e2 = figure.eccentricity_squared
+    n = 20000
+
+    def area(top):
+        mids = [math.radians(top) * (k + 0.5) / n for k in range(n)]
+        return sum(math.cos(p) * (1 - e2) / (1 - e2 * math.sin(p) ** 2) ** 2 for p in mids) * math.radians(top) / n
+
+    assert -heights[-45.0] == pytest.approx(area(45.0), abs=1e-9)
+
+
+def test_centroid_on_the_ellipsoid(spark):
+    square = ring(13.0, 52.0, 13.5, 52.4)
+    text_ = text("Polygon", [square])
+    lon, lat = one(spark, geo.area_centroid(geo.rings_of(F.lit(text_)), geo.WGS84))[0]
+    assert lon == pytest.approx(13.25, abs=1e-10)
+    # The latitude that halves the area: between that of the sphere and some 1e-5 degrees from it.
+    assert lat == pytest.approx(equal_area_mid(52.0, 52.4), abs=2e-5) and lat != equal_area_mid(52.0, 52.4)
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_dense_edges_are_straight_in_longitude_and_latitude(spark, closed):
+    triangle = [[0.0, 0.0], [40.0, 10.0], [5.0, 60.0], [0.0, 0.0]][: 4 if closed else 3]
+    rings = geo.rings_of(F.lit(text("Polygon", [triangle])))
+
+    def at(edge):
+        cut = geo.densified(rings, edge)
+        return one(spark, geo.area_centroid(cut, geo.WGS84))[0]
+
+    coarse, fine, finest = at(90.0), at(0.5), at(0.05)
+    assert tuple(coarse) == pytest.approx(tuple(one(spark, geo.area_centroid(rings, geo.WGS84))[0]), abs=1e-9)
+    assert tuple(fine) == pytest.approx(tuple(finest), abs=1e-3)
+    assert abs(coarse["lat"] - finest["lat"]) > 0.1
+    # Against strips of latitude: between its edges, straight in degrees, the triangle is as wide as they are apart.
+    n, area, along, mid = 100_000, 0.0, 0.0, 0.0
+    e2 = geo.WGS84.eccentricity_squared
+    for k in range(n):
+        lat = 60.0 * (k + 0.5) / n
+        left = 5.0 * lat / 60.0
+        right = 4.0 * lat if lat <= 10.0 else 40.0 - 35.0 * (lat - 10.0) / 50.0
+        p = math.radians(lat)
+        strip = math.cos(p) / (1 - e2 * math.sin(p) ** 2) ** 2 * (right - left)
+        area, along, mid = area + strip, along + strip * (left + right) / 2, mid + strip * float(height_of(lat, e2))
+    want = one(spark, geo.WGS84.latitude(F.lit(mid / area)))[0]
+    assert tuple(finest) == pytest.approx((along / area, want), abs=1e-4)
+
+
+def height_of(lat, e2):
+    e, sine = math.sqrt(e2), math.sin(math.radians(lat))
+    return (1 - e2) / 2 * (sine / (1 - e2 * sine**2) + math.log((1 + e * sine) / (1 - e * sine)) / (2 * e))
+
+
 def test_sql_functions(spark):
     geo.register_sql_functions(spark)
     quality.register_sql_functions(spark)
