@@ -55,7 +55,15 @@ def _votes(vocabulary: Sequence[str]) -> list[str]:
     return [f"votes_{i}" for i in range(len(vocabulary))]
 
 
-def _winner(vocabulary: Sequence[str]) -> Column:
+def votes_for(vocabulary: Sequence[str]) -> list[Column]:
+    """Aggregates that count each condition in a column of its own."""
+    return [
+        F.count(F.when(F.col("condition") == word, F.lit(1))).alias(name)
+        for word, name in zip(vocabulary, _votes(vocabulary), strict=True)
+    ]
+
+
+def winner_of(vocabulary: Sequence[str]) -> Column:
     """The condition with the most votes, the first in the vocabulary of a tie."""
     size = len(vocabulary)
     ballots = [
@@ -85,10 +93,7 @@ def station_sums(
     if vocabulary is None:
         key.append("condition")
     else:
-        votes = [
-            F.count(F.when(F.col("condition") == word, F.lit(1))).alias(name)
-            for word, name in zip(vocabulary, _votes(vocabulary), strict=True)
-        ]
+        votes = votes_for(vocabulary)
     summed = readings.groupBy(*key).agg(
         *sums, *counts, *votes, quality.cast("double").alias("quality"),
         F.count(F.lit(1)).alias("rows"), *issue,
@@ -118,7 +123,7 @@ def _combine(
     if vocabulary is not None:
         summed = [F.sum(c).alias(c) for c in [*names, *_votes(vocabulary)]]
         combined = weighted.groupBy(*key).agg(*summed, *issue)
-        return combined.withColumn("condition", _winner(vocabulary))
+        return combined.withColumn("condition", winner_of(vocabulary))
     totals = [F.sum(c).alias(c) for c in names]
     by_condition = weighted.groupBy(*key, "condition").agg(*totals, *issue)
     ballot = F.struct(-F.col("rows"), F.col("condition"))

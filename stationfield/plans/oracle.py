@@ -501,6 +501,7 @@ ORACLE["hourly_window"] = _ctes(
 )
 ORACLE["stream_dedup"] = _ctes(SYNOP) + "SELECT DISTINCT source_id, timestamp FROM synop"
 ORACLE["stream_interpolated"] = ORACLE["obs_by_postal_code"]
+ORACLE["stream_fc_by_postal_code"] = ORACLE["fc_by_postal_code"]
 # The stored table has no event number: equal versions are decided by the remaining columns.
 _BY_VALUES = ", ".join(f"{f} DESC NULLS LAST" for f in [*FIELDS, "condition"])
 ORACLE["stream_obs_by_postal_code"] = _staged("obs", tie=_BY_VALUES) + _shown("obs")

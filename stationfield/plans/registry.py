@@ -580,7 +580,8 @@ def _run(stream: DataFrame, mode: str, key: list[str]) -> DataFrame:
 @query
 def hourly_window(spark, d):
     stream, lateness = _landed_stream(_synop(spark, d))
-    hours = hourly.station_hours(stream, ["temperature", "sunshine_60"], lateness)
+    vocabulary = condition_vocabulary(_synop(spark, d))
+    hours = hourly.station_hours(stream, ["temperature", "sunshine_60"], lateness, vocabulary)
     return rounded(_run(hours, "update", ["source_id", "timestamp"]))
 
 
@@ -608,10 +609,44 @@ def stream_interpolated(spark, d):
         transforms.station_pairs(_places(spark, d), _stations(spark, d), "synop"), "pairs"
     )
     stream, lateness = _landed_stream(newest)
-    result = hourly.interpolate_stream(stream, pairs, OBSERVATION, lateness)
+    vocabulary = condition_vocabulary(newest)
+    result = hourly.interpolate_stream(stream, pairs, OBSERVATION, lateness, vocabulary=vocabulary)
     return rounded(_run(result, "update", ["plz", "timestamp"]))
 
 
+@query
+def stream_fc_by_postal_code(spark, d):
+    """Forecasts as they are delivered, the oldest issue of an hour in the first batch and the newest in the last,
+    through chained aggregates in append mode; a last reading of no station, long after all others, closes the hours."""
+    raw = _forecasts(spark, d).drop("ingested_at")
+    pairs = materialize(
+        transforms.station_pairs(_places(spark, d), _stations(spark, d), "forecast"), "pairs"
+    )
+    path = scratch_path(spark, "stream")
+    age = (F.unix_timestamp("timestamp") - F.unix_timestamp("forecast_created_at")) / 21600
+    for delivery in (2, 1, 0):
+        raw.where(age == delivery).coalesce(1).write.mode("append").parquet(path)
+    landed = spark.read.schema(raw.schema).parquet(path)
+    lateness = hourly.whole_span(landed)
+    nothing = {c: F.lit(None).cast(raw.schema[c].dataType) for c in raw.columns}
+    last = landed.agg(F.max("timestamp").alias("_last"), F.min("timestamp").alias("_first")).select(
+        *[
+            {
+                "timestamp": F.date_trunc("hour", F.timestamp_seconds(
+                    3 * F.unix_timestamp("_last") - 2 * F.unix_timestamp("_first") + 86400)),
+                "source_id": F.lit(-1).cast("bigint"),
+            }.get(c, nothing[c]).alias(c)
+            for c in raw.columns
+        ]
+    )
+    last.where("timestamp IS NOT NULL").coalesce(1).write.mode("append").parquet(path)
+    result = hourly.interpolate_stream(
+        hourly.read_landing(spark, path, raw.schema, 1), pairs, FORECAST, lateness,
+        vocabulary=condition_vocabulary(raw), tiebreak=TIEBREAK,
+    )
+    return rounded(_run(result, "append", ["plz", "timestamp"]))
+
+
 @query
 def stream_obs_by_postal_code(spark, d):
     """Two scheduled runs of the refresh: the readings, then their late corrections."""
