@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from stationfield.functions.geo import idw_weight
 from stationfield.functions.quality import DEFAULT_RANGES, Ranges, station_factor
-from stationfield.session import BROADCAST_ROWS, fits
+from stationfield.session import materialize
 
 ISSUE = "forecast_created_at"
 # Places that share a block are interpolated by the same task; blocks are this many degrees wide.
 BLOCK_DEGREES = 1.0
+# Readings of a block that are one slice of it, and pairs that are one share.
+SLICE_ROWS = 16_384
+PAIR_ROWS = 65_536
+PART = ["_block", "_slice", "_share"]
 # Beyond the rounding error of a weighted mean.
 MEAN_SLACK = 1e-9
 # With no more distinct conditions than this, each has its votes in a column of its own.
@@ -131,6 +135,14 @@ def _combine(
     return by_condition.groupBy(*key).agg(*totals, *issue, winner.alias("condition"))
 
 
+def reading_profile(raw: DataFrame) -> DataFrame:
+    """(source_id, condition, rows), written once: what the vocabulary and the cuts are taken from.
+    One scan of two columns, combined on the map side."""
+    return materialize(
+        raw.groupBy("source_id", "condition").agg(F.count(F.lit(1)).alias("rows")), "profile"
+    )
+
+
 def interpolate(
     readings: DataFrame,
     pairs: DataFrame,
@@ -138,7 +150,7 @@ def interpolate(
     min_stations: int = 1,
     ranges: Ranges = DEFAULT_RANGES,
     vocabulary: Sequence[str] | None = None,
-    few_pairs: bool | None = None,
+    profile: DataFrame | None = None,
     distinct_stations: bool = False,
 ) -> DataFrame:
     """One row per place and time with at least `min_stations` readings in range.
@@ -146,17 +158,14 @@ def interpolate(
     `readings`: source_id, timestamp (already aligned), condition, the fields, quality_score and,
     for forecasts, the issue time. `pairs`: plz, source_id, distance_km, centroid_lat,
     centroid_lon, read more than once, so better a written table than a plan. `vocabulary`, if
-    given, holds every condition that occurs (see `condition_vocabulary`). The pairs are counted
-    unless `few_pairs` tells whether they may be broadcast. `num_stations` counts readings;
+    given, holds every condition that occurs (see `condition_vocabulary`). `profile` has at least as many
+    `rows` of each station as `readings` (see `reading_profile`); it is taken of the readings unless given. `num_stations` counts readings;
     `distinct_stations` adds a column of that name that counts stations.
     """
     present = _present(readings, fields)
     sums = station_sums(readings, present, vocabulary, distinct_stations)
-    if fits(pairs, BROADCAST_ROWS) if few_pairs is None else few_pairs:
-        spread, key = _by_block(sums, pairs)
-    else:
-        spread = sums.join(pairs.select("plz", "source_id", "distance_km"), "source_id")
-        key = ["plz", "timestamp"]
+    spread = _block_join(sums, pairs, reading_profile(readings) if profile is None else profile)
+    key = ["plz", "timestamp", *PART]
     weight = idw_weight(F.col("distance_km"))
     names = [f"{kind}_{f}" for f in present for kind in ("sum", "n")]
     carried = [c for c in sums.columns if c not in [*names, "source_id", "timestamp"]]
@@ -165,18 +174,47 @@ def interpolate(
     return _finish(combined, fields, present, min_stations, ranges)
 
 
-def _by_block(sums: DataFrame, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Move the station sums, not their products with the places: each sum goes to the blocks its
-    station serves, and everything after that stays in the task of its (block, time). The pairs
-    are broadcast; their checked number also bounds what one (block, time) can hold."""
+def _block_join(sums: DataFrame, pairs: DataFrame, profile: DataFrame) -> DataFrame:
+    """Meet the station sums with the places, so that all that follows stays in the task of its part.
+
+    A part is a block of places, cut by hours into as many slices as it has SLICE_ROWS readings and by
+    places into as many as it has PAIR_ROWS pairs. A sum goes to each share of the places its station serves,
+    and a pair to each slice of its block: both sides move once, by part, and what they make, some dozens of rows for each
+    sum, is never shuffled. No part grows with the table or with the density of a block.
+    """
     across = F.floor((F.col("centroid_lon") + 180.0) / BLOCK_DEGREES)
     down = F.floor((F.col("centroid_lat") + 90.0) / BLOCK_DEGREES)
     block = (down * F.ceil(F.lit(360.0) / BLOCK_DEGREES) + across).cast("int")
     placed = pairs.select("plz", "source_id", "distance_km", block.alias("_block"))
-    served = placed.select("source_id", "_block").distinct()
-    moved = sums.join(F.broadcast(served), "source_id").repartition("_block", "timestamp")
-    spread = moved.join(F.broadcast(placed), ["source_id", "_block"])
-    return spread, ["plz", "timestamp", "_block"]
+    served = materialize(
+        placed.groupBy("source_id", "_block").agg(F.count(F.lit(1)).alias("_pairs")), "served"
+    )
+    per_station = profile.groupBy("source_id").agg(F.sum("rows").alias("_rows"))
+    # At most one row for each block of the globe, 64 800 of one degree: always a broadcast.
+    cuts = F.broadcast(
+        served.join(per_station, "source_id").groupBy("_block").agg(
+            F.ceil(F.sum("_rows") / F.lit(SLICE_ROWS)).cast("int").alias("_slices"),
+            F.ceil(F.sum("_pairs") / F.lit(PAIR_ROWS)).cast("int").alias("_shares"),
+        )
+    )
+
+    def all_of(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    moved = (
+        sums.join(served.drop("_pairs").join(cuts, "_block"), "source_id")
+        .withColumn("_slice", F.pmod(F.xxhash64("timestamp"), F.col("_slices")).cast("int"))
+        .withColumn("_share", all_of("_shares")).drop("_slices", "_shares").repartition(*PART)
+    )
+    target = (
+        placed.join(cuts, "_block")
+        .withColumn("_share", F.pmod(F.xxhash64("plz"), F.col("_shares")).cast("int"))
+        .withColumn("_slice", all_of("_slices")).drop("_slices", "_shares").repartition(*PART)
+    )
+    # Both sides are dealt by part already; the station is an equal key only within it. The size of the
+    # pairs in all slices is not what a plan made from files knows, so a broadcast is not its choice.
+    sums.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return moved.join(target.hint("merge"), [*PART, "source_id"])
 
 
 def _finish(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +9,6 @@ from stationfield.functions.geo import Grid, great_circle_km
 from stationfield.operators.versions import first_seen
 from stationfield.session import BROADCAST_ROWS, fits, materialize
 
-log = logging.getLogger(__name__)
-
 CELL = ["_band", "_column"]
 # A cell with more places or stations than this is cut into blocks, so that no task compares more
 # than BLOCK x BLOCK of them.
@@ -23,13 +19,15 @@ STATION_ROWS = BROADCAST_ROWS // 10
 RING_KM = 0.25
 
 
-def _located(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Rows with real coordinates; others are near nothing, and their number is logged."""
-    real = F.col(lat).between(-90.0, 90.0) & (F.abs(F.col(lon)) < F.lit(float("inf")))
-    rejected = df.where(~F.coalesce(real, F.lit(False))).count()
-    if rejected:
-        log.warning("%d rows without a finite %s and a %s within 90 degrees", rejected, lon, lat)
-    return df.where(real)
+def _real(lat: str, lon: str) -> Column:
+    known = F.col(lat).between(-90.0, 90.0) & (F.abs(F.col(lon)) < F.lit(float("inf")))
+    return F.coalesce(known, F.lit(False))
+
+
+def unlocated(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """The rows that a radius join leaves out: without a finite longitude and a latitude within 90
+    degrees they are near nothing."""
+    return df.where(~_real(lat, lon))
 
 
 def _wrapped(lon: str) -> Column:
@@ -95,10 +93,11 @@ def radius_join(
     columns are carried along. Each place looks into the grid cells its circle touches, which
     makes this an equi join. A station side of few rows is broadcast; a larger one is shuffled by
     cell, with hot cells cut into blocks. The rows are counted unless `few_stations` tells.
+    Rows without real coordinates are in no pair; `unlocated` gives them.
     """
     grid = Grid(radius_km)
-    places = _located(places, "centroid_lat", "centroid_lon")
-    stations = _located(stations, "lat", "lon")
+    places = places.where(_real("centroid_lat", "centroid_lon"))
+    stations = stations.where(_real("lat", "lon"))
     probe = _in_every_cell_around(places, grid, "centroid_lat", "centroid_lon")
     build = _in_own_cell(stations, grid, "lat", "lon")
     if few_stations is None:

@@ -43,12 +43,12 @@ def _distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     )
 
 
-def _pairs(kind: str | None, where: str = "TRUE") -> str:
+def _pairs(kind: str | None, where: str = "TRUE", radius: str = "10.0E0") -> str:
     typed = f"s.observation_type = '{kind}'" if kind else "TRUE"
     distance = _distance("p.centroid_lat", "p.centroid_lon", "s.lat", "s.lon")
     return f"""pairs AS (SELECT * FROM (
   SELECT p.plz, s.id AS source_id, s.station_name, s.observation_type, {distance} AS distance_km
-  FROM pc p, st s WHERE {typed} AND {where}) WHERE distance_km <= 10.0E0)"""
+  FROM pc p, st s WHERE {typed} AND {where}) WHERE distance_km <= {radius})"""
 
 
 PENALTY = {
@@ -267,6 +267,15 @@ ORACLE["idw_mean"] = _ctes(
     _r(f"sum({f} * w) / sum(CASE WHEN {f} IS NOT NULL THEN w END)", f) for f in _DAY
 ) + " FROM joined GROUP BY plz, day"
 
+ORACLE["idw_many_pairs"] = _ctes(
+    PLACES, STATIONS, CURRENT, SYNOP, _pairs("synop", radius="25.0E0"), _readings("obs"), _interpolated("obs"),
+    "stations AS (SELECT plz, timestamp, count(DISTINCT source_id) AS n FROM joined GROUP BY plz, timestamp)",
+) + (
+    "SELECT r.plz, r.timestamp, " + _r("temperature", "temperature") + ", " + _r("pressure_msl", "pressure_msl")
+    + ", condition, num_stations, s.n AS distinct_stations FROM result r JOIN stations s "
+    "ON s.plz = r.plz AND s.timestamp = r.timestamp"
+)
+
 ORACLE["condition_mode"] = _ctes(
     SYNOP,
     """days AS (SELECT source_id, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS day, condition

@@ -18,7 +18,12 @@ from pyspark.sql.types import DoubleType
 from stationfield import schemas
 from stationfield.functions import geo, quality, temporal
 from stationfield.operators import radius, versions
-from stationfield.operators.idw import condition_vocabulary, interpolate, most_frequent
+from stationfield.operators.idw import (
+    condition_vocabulary,
+    interpolate,
+    most_frequent,
+    reading_profile,
+)
 from stationfield.plans import ingest, monitor, reads, transforms
 from stationfield.plans.transforms import FORECAST, OBSERVATION
 from stationfield.session import materialize, scratch_path
@@ -247,10 +252,28 @@ def idw_mean(spark, d):
     pairs = materialize(
         transforms.station_pairs(_places(spark, d), _stations(spark, d), "synop"), "pairs"
     )
-    means = interpolate(daily, pairs, DAY_FIELDS, vocabulary=condition_vocabulary(raw))
+    profile = reading_profile(raw)
+    means = interpolate(
+        daily, pairs, DAY_FIELDS, vocabulary=condition_vocabulary(profile), profile=profile
+    )
     return rounded(means.select("plz", F.col("timestamp").alias("day"), *DAY_FIELDS))
 
 
+@query
+def idw_many_pairs(spark, d):
+    """Hourly means within 25 km, some six times as many pairs as within 10, with the number of stations
+    that each rests on."""
+    raw = _synop(spark, d)
+    pairs = materialize(
+        transforms.station_pairs(_places(spark, d), _stations(spark, d), "synop", radius_km=25.0), "pairs"
+    )
+    wide = transforms.Options(radius_km=25.0, distinct_stations=True)
+    means = transforms.transform(raw, pairs, OBSERVATION, tiebreak=TIEBREAK, options=wide)
+    return rounded(
+        means.select("plz", "timestamp", "temperature", "pressure_msl", "condition", "num_stations", "distinct_stations")
+    )
+
+
 @query
 def condition_mode(spark, d):
     """Most frequent condition per station and day."""

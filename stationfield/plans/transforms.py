@@ -19,8 +19,8 @@ from stationfield.functions.quality import (
     nan_to_null,
 )
 from stationfield.operators import versions
-from stationfield.operators.idw import condition_vocabulary, interpolate
-from stationfield.operators.radius import STATION_ROWS, radius_join
+from stationfield.operators.idw import condition_vocabulary, interpolate, reading_profile
+from stationfield.operators.radius import radius_join
 from stationfield.session import fits, materialize
 
 
@@ -110,9 +110,9 @@ def station_pairs(
     located = current_stations(stored, station_type).select(
         F.col("id").alias("source_id"), "lat", "lon"
     )
-    # Counting the stored versions is cheaper than ranking them, and bounds the stations.
-    few = fits(stored.where(F.col("observation_type") == station_type), STATION_ROWS)
-    return radius_join(places, located, radius_km, few or None).select(
+    # Written, so that their number is known from the files and the ranking runs once.
+    located = materialize(located, "located")
+    return radius_join(places, located, radius_km).select(
         "plz", "source_id", "distance_km", "centroid_lat", "centroid_lon"
     )
 
@@ -149,6 +149,8 @@ def prepare_readings(
     cleaned = add_quality(nan_to_null(readings), options.ranges)
     if options.drop_invalid:
         cleaned = keep_valid(cleaned)
+    if spec.is_forecast:  # on the hour already; truncated again, its rows would be dealt out again
+        return cleaned
     return cleaned.withColumn("timestamp", temporal.hour_of(F.col("timestamp")))
 
 
@@ -163,17 +165,17 @@ def transform(
 ) -> DataFrame:
     """Staging rows without the version column, in the staging column order.
 
-    Where the pairs fit a broadcast, readings of stations near no place are left out in the scan
-    stage, before anything is shuffled.
+    Readings of stations near no place are left out in the scan stage where the list of the
+    others is small enough for it.
     """
-    few_pairs = fits(pairs)
-    vocabulary = condition_vocabulary(_in_window(raw, spec, as_of, span))
-    if few_pairs:
-        near = pairs.select("source_id").distinct()
+    profile = reading_profile(_in_window(raw, spec, as_of, span))
+    vocabulary = condition_vocabulary(profile)
+    near = pairs.select("source_id").distinct()
+    if fits(pairs):
         raw = raw.join(F.broadcast(near), "source_id", "left_semi")
     readings = prepare_readings(raw, spec, as_of, span, tiebreak, options)
     result = interpolate(
-        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary, few_pairs,
+        readings, pairs, spec.fields, options.min_stations, options.ranges, vocabulary, profile,
         options.distinct_stations,
     )
     extra = ["distinct_stations"] if options.distinct_stations else []

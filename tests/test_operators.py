@@ -64,11 +64,12 @@ def test_radius_join_equals_brute_force(spark, region, few_stations, monkeypatch
     assert got
 
 
-def test_radius_join_keeps_finite_longitudes_and_logs_the_rest(spark, caplog):
+def test_radius_join_keeps_finite_longitudes_and_tells_the_rest(spark):
     p = places(spark, [("a", 50.0, 10.0), ("b", 50.0, 730.0)])
-    s = stations(spark, [(1, 50.0, 10.01 - 1080.0), (2, 50.0, float("inf")), (3, 91.0, 10.0)])
+    s = stations(spark, [(1, 50.0, 10.01 - 1080.0), (2, 50.0, float("inf")), (3, 91.0, 10.0), (4, None, 1.0)])
     assert ids(radius.radius_join(p, s, 10.0)) == {("a", 1), ("b", 1)}
-    assert [r.args[0] for r in caplog.records if r.name == radius.__name__] == [2]
+    assert {r["source_id"] for r in radius.unlocated(s, "lat", "lon").collect()} == {2, 3, 4}
+    assert radius.unlocated(p, "centroid_lat", "centroid_lon").count() == 0
 
 
 def test_radius_join_edge_and_bad_coordinates(spark):
@@ -135,22 +136,59 @@ def pairs_of(spark, rows):
 
 
 WAYS = [
-    pytest.param({"few_pairs": True, "counted": True}, id="aligned, counted"),
-    pytest.param({"few_pairs": True, "counted": False}, id="aligned, plain"),
-    pytest.param({"few_pairs": False, "counted": True}, id="shuffled, counted"),
-    pytest.param({"few_pairs": False, "counted": False}, id="shuffled, plain"),
+    pytest.param({"cut": False, "counted": True}, id="whole, counted"),
+    pytest.param({"cut": False, "counted": False}, id="whole, plain"),
+    pytest.param({"cut": True, "counted": True}, id="cut, counted"),
+    pytest.param({"cut": True, "counted": False}, id="cut, plain"),
 ]
 
 
+@pytest.fixture(autouse=True)
+def cut_blocks(request, monkeypatch):
+    """Blocks cut both ways, down to single readings and pairs."""
+    way = getattr(request.node, "callspec", None)
+    if way and way.params.get("way", {}).get("cut"):
+        monkeypatch.setattr(idw, "SLICE_ROWS", 1)
+        monkeypatch.setattr(idw, "PAIR_ROWS", 1)
+
+
 def run(spark, readings, pairs, way, minimum=1):
     df = spark.createDataFrame(readings, READING)
     words = idw.condition_vocabulary(df) if way["counted"] else None
-    out = idw.interpolate(
-        df, pairs, ["value", "absent"], minimum, Ranges(), words, way["few_pairs"], True
-    )
+    out = idw.interpolate(df, pairs, ["value", "absent"], minimum, Ranges(), words, distinct_stations=True)
     return {(r["plz"], r["timestamp"].hour): r for r in out.collect()}
 
 
+def test_what_the_pairs_make_is_not_shuffled(spark):
+    """Both sides of the block join move by part; above it there is no exchange, and no broadcast of pairs."""
+    pairs = pairs_of(spark, [(str(p), s, 1.0 + s) for p in range(20) for s in range(3)])
+    df = spark.createDataFrame([(s, H, 1.0, "dry", 1.0) for s in range(3)], READING)
+    out = idw.interpolate(df, pairs, ["value"], vocabulary=["dry"])
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    above, joined, below = plan.partition("SortMergeJoin [_block")
+    assert joined and "Exchange" not in above
+    assert below.count("REPARTITION_BY_COL") == 2
+
+
+def test_parts_are_bounded(spark, monkeypatch):
+    """A crowded block with a busy station is cut by hours and by places."""
+    monkeypatch.setattr(idw, "SLICE_ROWS", 50)
+    monkeypatch.setattr(idw, "PAIR_ROWS", 40)
+    pairs = pairs_of(spark, [(str(p), s, 1.0) for p in range(100) for s in range(2)])
+    df = spark.range(600).select(
+        (F.col("id") % 2).alias("source_id"), (F.lit(H) + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("timestamp"),
+        F.col("id").cast("double").alias("value"), F.lit("dry").alias("condition"), F.lit(1.0).alias("quality_score"),
+    )
+    sums = idw.station_sums(df, ["value"], ["dry"])
+    parts = idw._block_join(sums, pairs, idw.reading_profile(df)).groupBy(*idw.PART).agg(
+        F.count_distinct("plz").alias("places"), F.count_distinct("timestamp").alias("hours")
+    ).collect()
+    assert len(parts) == 12 * 5
+    assert max(r["places"] for r in parts) < 40 and max(r["hours"] for r in parts) < 100
+    out = idw.interpolate(df, pairs, ["value"], vocabulary=["dry"])
+    assert out.count() == 100 * 600 and out.agg(F.max("num_stations")).first()[0] == 1
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_interpolation(spark, way):
     pairs = pairs_of(spark, [("a", 1, 0.0), ("a", 2, 0.9), ("b", 2, 4.9), ("c", 3, 1.0)])
