@@ -198,22 +198,27 @@ def _block_join(sums: DataFrame, pairs: DataFrame, profile: DataFrame) -> DataFr
         )
     )
 
-    def all_of(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    spark = sums.sparkSession
+    # As many tasks as the session is sized for: what a part makes is far more than the bytes that
+    # it reads, by which small partitions would be put together.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def all_of(number: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
 
     moved = (
         sums.join(served.drop("_pairs").join(cuts, "_block"), "source_id")
         .withColumn("_slice", F.pmod(F.xxhash64("timestamp"), F.col("_slices")).cast("int"))
-        .withColumn("_share", all_of("_shares")).drop("_slices", "_shares").repartition(*PART)
+        .withColumn("_share", all_of("_shares")).drop("_slices", "_shares").repartition(n, *PART)
     )
     target = (
         placed.join(cuts, "_block")
         .withColumn("_share", F.pmod(F.xxhash64("plz"), F.col("_shares")).cast("int"))
-        .withColumn("_slice", all_of("_slices")).drop("_slices", "_shares").repartition(*PART)
+        .withColumn("_slice", all_of("_slices")).drop("_slices", "_shares").repartition(n, *PART)
     )
     # Both sides are dealt by part already; the station is an equal key only within it. The size of the
     # pairs in all slices is not what a plan made from files knows, so a broadcast is not its choice.
-    sums.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return moved.join(target.hint("merge"), [*PART, "source_id"])
 
 

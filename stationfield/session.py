@@ -18,6 +18,8 @@ def build_session(app: str = "stationfield", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Radius joins and interpolation make far more rows than the bytes they read suggest.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in conf.items():

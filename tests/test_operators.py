@@ -167,7 +167,7 @@ def test_what_the_pairs_make_is_not_shuffled(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     above, joined, below = plan.partition("SortMergeJoin [_block")
     assert joined and "Exchange" not in above
-    assert below.count("REPARTITION_BY_COL") == 2
+    assert below.count("REPARTITION_BY_NUM") == 2
 
 
 def test_parts_are_bounded(spark, monkeypatch):
