@@ -514,3 +514,103 @@ ORACLE["stream_fc_by_postal_code"] = ORACLE["fc_by_postal_code"]
 # The stored table has no event number: equal versions are decided by the remaining columns.
 _BY_VALUES = ", ".join(f"{f} DESC NULLS LAST" for f in [*FIELDS, "condition"])
 ORACLE["stream_obs_by_postal_code"] = _staged("obs", tie=_BY_VALUES) + _shown("obs")
+
+_HOURLY_SHOWN = "source_id, timestamp, event_id, condition, ingested_at, " + ", ".join(
+    _r(f, f.removesuffix("_60")) for f in OBS_NUMBERS
+)
+ORACLE["latest_hourly_obs"] = _ctes(SYNOP, LATEST_OBS) + (
+    f"SELECT {_HOURLY_SHOWN} FROM newest ORDER BY timestamp DESC, source_id LIMIT 250"
+)
+ORACLE["one_postal_code"] = _ctes(
+    PLACES, STATIONS, CURRENT, SYNOP, _pairs("synop"), _readings("obs"), _PRODUCED
+) + (
+    f"SELECT pc.plz, {_r('any_value(centroid_lat)', 'centroid_lat')}, {_r('any_value(centroid_lon)', 'centroid_lon')}, "
+    "CASE WHEN count(x.timestamp) > 0 THEN count(x.timestamp) END AS hours, max(x.timestamp) AS last_hour "
+    "FROM pc LEFT JOIN produced x ON x.plz = pc.plz WHERE pc.plz = '10042' GROUP BY pc.plz"
+)
+ORACLE["head_sample"] = _ctes(SYNOP, LATEST_OBS) + (
+    f"SELECT source_id, timestamp, {_r('temperature', 'temperature')} FROM newest ORDER BY source_id, timestamp LIMIT 100"
+)
+# Stored without its event number: equal versions are decided by the remaining columns.
+_STORED_TIE = ", ".join(f"{f} DESC NULLS LAST" for f in [
+    "cloud_cover", "condition", "pressure_msl", "relative_humidity", "temperature", "precipitation_60",
+    "sunshine_60", "wind_direction_60", "wind_speed_60",
+])
+ORACLE["sql_with_parameters"] = _ctes(
+    SYNOP,
+    f"""newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id, timestamp
+  ORDER BY ingested_at DESC, {_STORED_TIE}) AS rn FROM synop) WHERE rn = 1)""",
+) + (
+    "SELECT source_id, count(*) AS hours, count(DISTINCT CAST(timestamp AS DATE)) AS days, "
+    f"{_r('avg(temperature)', 'temperature')} FROM newest WHERE {_range('2024-01-05 06:00:00', '2024-01-15 12:00:00')} "
+    "AND temperature > 0.0E0 GROUP BY source_id"
+)
+ORACLE["delete_readings_by_key"] = _ctes(SYNOP) + (
+    "SELECT source_id, CAST(timestamp AS DATE) AS day, count(*) AS rows, count(temperature) AS temperatures FROM synop "
+    "WHERE NOT (source_id % 2 = 0 AND CAST(timestamp AS DATE) IN (DATE '2024-01-03', DATE '2024-01-10', DATE '2024-01-20')) "
+    "GROUP BY ALL"
+)
+_WRITTEN = {
+    "raw.postal_codes": "pc", "raw.weather_stations": "all_stations", "raw.weather_observations_synop": "synop",
+    "raw.weather_observations": "synop", "raw.weather_forecasts": "fc",
+}
+ORACLE["typed_rows"] = _ctes(PLACES, STATIONS, SYNOP, FORECASTS) + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", least(count(*), 40) AS rows, least(count(*), 40) AS returned FROM {_WRITTEN[t]}"
+    if t in _WRITTEN else f"SELECT '{t}' AS \"table\", 0 AS rows, 0 AS returned"
+    for t in schemas.TABLES
+)
+ORACLE["schema_check"] = " UNION ALL ".join(
+    f"SELECT '{t.name}' AS \"table\", '{c}' AS \"column\", "
+    f"{'TRUE' if t.name in ('raw.postal_codes', 'raw.weather_stations') else 'FALSE'} AS present"
+    for t in schemas.TABLES.values() for c in t.columns
+)
+
+
+def _reported(stored: str, written: str, rejected: int, versions: int = 1, verified: str | None = None) -> str:
+    return (
+        f"(SELECT count(*) FROM {written}) AS written, {verified or f'(SELECT count(*) FROM {written})'} AS verified, "
+        f"CAST({rejected} AS BIGINT) AS rejected, {stored} AS stored, CAST({versions} AS BIGINT) AS versions"
+    )
+
+
+ORACLE["ingest_codes_job"] = _ctes(PLACES) + (
+    f"SELECT left(plz, 3) AS prefix, count(*) AS codes, {_reported('(SELECT count(*) FROM pc)', 'pc', 2)} "
+    "FROM pc GROUP BY left(plz, 3)"
+)
+ORACLE["ingest_stations_job"] = _ctes(
+    PLACES, STATIONS, CURRENT, _pairs(None, "(p.plz LIKE '10%' OR p.plz LIKE '11%')"),
+    """found AS (SELECT source_id, observation_type, round(distance_km * 1000.0E0, 2) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY plz) AS rn FROM pairs) WHERE rn = 1)""",
+) + (
+    f"SELECT source_id AS id, observation_type, distance, {_reported('(SELECT count(*) FROM found)', 'found', 0)} FROM found"
+)
+ORACLE["ingest_obs_job"] = _ctes(
+    STATIONS, CURRENT, SYNOP,
+    f"""taken AS (SELECT DISTINCT source_id, timestamp FROM synop
+  WHERE source_id IN (SELECT id FROM st WHERE {_ACTIVE}))""",
+) + (
+    "SELECT CAST(timestamp AS DATE) AS day, count(*) AS readings, count(DISTINCT source_id) AS stations, "
+    f"{_reported('(SELECT 2 * count(*) FROM taken)', 'taken', 3, 2)} FROM taken GROUP BY CAST(timestamp AS DATE)"
+)
+ORACLE["ingest_forecasts_job"] = _ctes(
+    STATIONS, CURRENT, FORECASTS, _issued("2024-01-15 06:30:00"),
+    f"""taken AS (SELECT DISTINCT source_id, timestamp, forecast_created_at FROM issued WHERE {WEEK_OF_DAYS}
+  AND source_id IN (SELECT id FROM st WHERE observation_type = 'forecast'
+    AND last_record >= TIMESTAMP '2024-01-15 06:30:00' + INTERVAL '8' DAY))""",
+) + (
+    "SELECT CAST(timestamp AS DATE) AS day, count(*) AS forecasts, count(DISTINCT forecast_created_at) AS issues, "
+    f"{_reported('(SELECT count(*) FROM taken)', 'taken', 0, 1, 'CAST(NULL AS BIGINT)')} FROM taken GROUP BY CAST(timestamp AS DATE)"
+)
+ORACLE["staged_forecasts_saved"] = _staged("fc", where=WEEK_AHEAD) + (
+    "SELECT plz, count(*) AS hours, n AS first, n AS second, CAST(0 AS BIGINT) AS empty, 2 * n AS stored "
+    "FROM result, (SELECT count(*) AS n FROM result) GROUP BY plz, n"
+)
+ORACLE["stations_by_range"] = _ctes(
+    SYNOP,
+    """ranges(name, start, stop) AS (VALUES ('first week', DATE '2024-01-01', DATE '2024-01-08'),
+  ('month', DATE '2024-01-01', DATE '2024-02-01'), ('day', DATE '2024-01-10', DATE '2024-01-11'),
+  ('ahead', DATE '2030-01-01', DATE '2030-02-01'))""",
+) + (
+    "SELECT r.name, count(timestamp) AS rows, min(timestamp) AS first_timestamp, max(timestamp) AS last_timestamp, "
+    "TRUE AS within_bound FROM ranges r LEFT JOIN synop ON CAST(timestamp AS DATE) >= start AND CAST(timestamp AS DATE) < stop GROUP BY r.name"
+)

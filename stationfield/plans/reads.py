@@ -14,10 +14,11 @@ from stationfield.operators.radius import near_places
 from stationfield.operators.versions import first_per_key, latest
 from stationfield.plans.transforms import current_places, current_stations
 from stationfield.schemas import Table
-from stationfield.session import BROADCAST_ROWS
 from stationfield.sources.warehouse import Warehouse
 
 FORECAST_FRESHNESS_DAYS = 8
+# Hours, from the newest back, among which a bound is looked for; some eleven years. Without one all is ranked.
+HOURS_LOOKED_AT = 100_000
 
 
 def postal_codes(table: DataFrame, prefixes: Sequence[str] | str | None = None) -> DataFrame:
@@ -57,6 +58,35 @@ def forecast_stations(
     return current_stations(stations, "forecast").where(F.col("last_record") >= reach)
 
 
+def newest_bound(
+    df: DataFrame, table: Table, lead: str, limit: int, hours: int = HOURS_LOOKED_AT
+) -> datetime | None:
+    """A whole hour from which on there are at least `limit` keys, or None where all rows are needed.
+
+    The newest hours and their rows come from one scan of the leading column, combined on the map side.
+    As many of them are taken as hold `limit` rows; versions of a key are several rows, so the keys
+    of these hours, and of no others, are counted, and twice as many hours taken until there are enough.
+    """
+    hour = F.date_trunc("hour", lead).alias("hour")
+    newest_hours = (
+        df.where(F.col(lead).isNotNull()).groupBy(hour).agg(F.count(F.lit(1)).alias("rows"))
+        .orderBy(F.desc("hour")).limit(hours)
+        .select(temporal.format_utc(F.col("hour")), "rows").collect()  # a bounded list of hours
+    )
+    rows, n = 0, 0
+    while n < len(newest_hours) and rows < limit:
+        rows, n = rows + newest_hours[n][1], n + 1
+    while rows >= limit and n:
+        bound = datetime.fromisoformat(newest_hours[n - 1][0])
+        chosen = df.where(F.col(lead) >= temporal.utc(bound))
+        if chosen.select(*table.key).distinct().limit(limit).count() >= limit:
+            return bound
+        if n == len(newest_hours):
+            break
+        n = min(2 * n, len(newest_hours))
+    return None
+
+
 def newest(
     df: DataFrame,
     table: Table,
@@ -67,18 +97,17 @@ def newest(
 ) -> DataFrame:
     """The `limit` newest rows in descending `order` (columns of the key), then ascending key.
 
-    The newest keys are found first, from the key columns alone; only their versions are then
-    ranked, so a small answer does not shuffle whole rows of the table.
+    The leading column is bounded first (`newest_bound`), which reaches the scan and its row groups; only
+    what passes is ranked by version and key.
     """
     if source_id is not None:
         df = df.where(F.col("source_id") == source_id)
     rest = [c for c in table.key if c not in order]
     ordering = [*[F.col(c).desc() for c in order], *[F.col(c).asc() for c in rest]]
-    wanted = df.select(*table.key).distinct().orderBy(*ordering).limit(limit)
-    if limit <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    chosen = df.join(wanted, list(table.key), "left_semi")
-    return latest(chosen, table.key, table.version, tiebreak).orderBy(*ordering).limit(limit)
+    bound = newest_bound(df, table, order[0], limit)
+    if bound is not None:
+        df = df.where(F.col(order[0]) >= temporal.utc(bound))
+    return latest(df, table.key, table.version, tiebreak).orderBy(*ordering).limit(limit)
 
 
 def latest_observations_synop(
@@ -103,6 +132,11 @@ def latest_forecasts(
     return newest(df, schemas.FORECASTS, order, source_id, limit, tiebreak)
 
 
+def head(df: DataFrame, table: Table, n: int = 5) -> DataFrame:
+    """The first `n` rows in order of the key: each task sends on its own first `n`."""
+    return df.orderBy(*table.key).limit(n)
+
+
 def current_forecast(staged: DataFrame) -> DataFrame:
     """Newest issue per postal code and hour."""
     version = [c for c in ("created_at",) if c in staged.columns]
@@ -129,19 +163,35 @@ class Reader:
             self.warehouse.scan(schemas.WEATHER_STATIONS), observation_type, near
         )
 
+    def _newest(
+        self, table: Table, order: Sequence[str], source_id: int | None, limit: int,
+        since: datetime | None,
+    ) -> DataFrame:
+        """The bound on the event time also says which day folders are opened for the ranking."""
+        df = self.warehouse.scan(table, since)
+        wanted = df if source_id is None else df.where(F.col("source_id") == source_id)
+        if order[0] == table.event_time:
+            bound = newest_bound(wanted, table, order[0], limit)
+            if bound is not None:
+                df = self.warehouse.scan(table, max(bound, temporal.naive_utc(since) or bound))
+        return newest(df, table, order, source_id, limit)
+
     def latest_observations_synop(
         self, source_id: int | None = None, limit: int = 100, since: datetime | None = None
     ) -> DataFrame:
-        df = self.warehouse.scan(schemas.OBSERVATIONS_SYNOP, since)
-        return latest_observations_synop(df, source_id, limit)
+        return self._newest(schemas.OBSERVATIONS_SYNOP, ["timestamp"], source_id, limit, since)
 
     def latest_observations(
         self, source_id: int | None = None, limit: int = 100, since: datetime | None = None
     ) -> DataFrame:
-        df = self.warehouse.scan(schemas.OBSERVATIONS_HOURLY, since)
-        return latest_observations(df, source_id, limit)
+        return self._newest(schemas.OBSERVATIONS_HOURLY, ["timestamp"], source_id, limit, since)
 
     def latest_forecasts(
         self, source_id: int | None = None, limit: int = 100, since: datetime | None = None
     ) -> DataFrame:
-        return latest_forecasts(self.warehouse.scan(schemas.FORECASTS, since), source_id, limit)
+        order = ["forecast_created_at", "timestamp"]
+        return self._newest(schemas.FORECASTS, order, source_id, limit, since)
+
+    def head(self, table: Table, n: int = 5) -> DataFrame:
+        """The first `n` current rows in order of the key."""
+        return head(self.warehouse.read(table), table, n)

@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType
 from stationfield import schemas
 from stationfield.functions import geo, quality, temporal
 from stationfield.operators import radius, versions
+from stationfield.operators.conform import conform
 from stationfield.operators.idw import (
     condition_vocabulary,
     interpolate,
@@ -437,6 +438,242 @@ def latest_forecasts(spark, d):
     return rounded(reads.latest_forecasts(_forecasts(spark, d), tiebreak=TIEBREAK))
 
 
+def _hourly(spark: SparkSession, d: str) -> DataFrame:
+    """The readings under the names of the hourly table."""
+    raw = _synop(spark, d)
+    return raw.withColumnsRenamed({c: c.removesuffix("_60") for c in raw.columns})
+
+
+@query
+def latest_hourly_obs(spark, d):
+    rows = reads.latest_observations(_hourly(spark, d), limit=250, tiebreak=TIEBREAK)
+    return rounded(rows)
+
+
+@query
+def one_postal_code(spark, d):
+    """Each postal code of a prefix looked up by itself, of the places and of the stored results."""
+    place = reads.postal_code(_places(spark, d), "10042")
+    staged = _transformed(spark, d, OBSERVATION).where("plz = '10042'")
+    return rounded(
+        place.select("plz", "centroid_lat", "centroid_lon").join(
+            staged.groupBy("plz").agg(F.count(F.lit(1)).alias("hours"), F.max("timestamp").alias("last_hour")), "plz", "left"
+        )
+    )
+
+
+@query
+def head_sample(spark, d):
+    """The first hundred current readings in order of station and time."""
+    table = schemas.OBSERVATIONS_SYNOP
+    current = versions.latest(_synop(spark, d), table.key, table.version, TIEBREAK)
+    return rounded(reads.head(current.select("source_id", "timestamp", "temperature"), table, 100))
+
+
+def _stored_readings(spark: SparkSession, d: str) -> Warehouse:
+    """All versions of all readings, a folder for each day."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    warehouse.append(_synop(spark, d), schemas.OBSERVATIONS_SYNOP, AS_OF)
+    return warehouse
+
+
+@query
+def sql_with_parameters(spark, d):
+    """SQL text over the stored readings of ten days, which alone are opened."""
+    return rounded(
+        _stored_readings(spark, d).query(
+            "SELECT source_id, count(*) AS hours, count(DISTINCT _date) AS days, avg(temperature) AS temperature "
+            "FROM raw_weather_observations_synop WHERE timestamp >= :since AND timestamp < :until "
+            "AND temperature > :low GROUP BY source_id",
+            since=datetime(2024, 1, 5, 6), until=datetime(2024, 1, 15, 12), low=0.0,
+        )
+    )
+
+
+@query
+def delete_readings_by_key(spark, d):
+    """All versions of every reading of the even stations on three days removed; other days stay as they are."""
+    warehouse = _stored_readings(spark, d)
+    days = F.to_date("timestamp").isin("2024-01-03", "2024-01-10", "2024-01-20")
+    doomed = _synop(spark, d).where(days & (F.col("source_id") % 2 == 0))
+    warehouse.delete(schemas.OBSERVATIONS_SYNOP, doomed)
+    left = warehouse.scan(schemas.OBSERVATIONS_SYNOP)
+    return left.groupBy("source_id", F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("temperature").alias("temperatures")
+    )
+
+
+@query
+def typed_rows(spark, d):
+    """Typed rows, positional and by name, into each of the seven tables: the first rows of the given ones."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    given = {
+        schemas.POSTAL_CODES: _places(spark, d).withColumn("geometry", F.lit("")),
+        schemas.WEATHER_STATIONS: _stations(spark, d),
+        schemas.OBSERVATIONS_SYNOP: _synop(spark, d),
+        schemas.OBSERVATIONS_HOURLY: _hourly(spark, d),
+        schemas.FORECASTS: _forecasts(spark, d),
+    }
+    written = {}
+    for table, df in given.items():
+        payload = conform(df, table.payload).orderBy(*table.key).limit(40).collect()
+        written[table.name] = warehouse.append_rows([tuple(r) for r in payload[:20]], table, AS_OF)
+        written[table.name] += warehouse.append_rows([r.asDict() for r in payload[20:]], table, AS_OF)
+    counts = monitor.table_counts(monitor.warehouse_tables(warehouse))
+    told = spark.createDataFrame(list(written.items()), "`table` string, returned bigint")
+    return counts.join(told, "table", "left").select("table", "rows", F.coalesce("returned", F.lit(0)).alias("returned"))
+
+
+@query
+def schema_check(spark, d):
+    """Which columns the stored tables have: places and stations written, all others not."""
+    warehouse = _stored_stations(spark, d)
+    warehouse.append(
+        _places(spark, d).withColumn("geometry", F.lit("")), schemas.POSTAL_CODES, AS_OF
+    )
+    return monitor.schema_report(warehouse)
+
+
+# -- ingest jobs -------------------------------------------------------------------------------
+
+
+def _report(report: ingest.Report, stored: DataFrame) -> DataFrame:
+    """What a job reported beside what its table holds."""
+    rejected = report.rejected.count() if report.rejected is not None else 0
+    return stored.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("ingested_at").alias("versions")).select(
+        F.lit(report.written).cast("bigint").alias("written"),
+        F.lit(report.verified).cast("bigint").alias("verified"),
+        F.lit(rejected).cast("bigint").alias("rejected"), "stored", "versions",
+    )
+
+
+@query
+def ingest_codes_job(spark, d):
+    """FeatureCollections, one document for each hundred codes, one of them broken off and one feature without geometry: written,
+    read back, and the codes that arrived."""
+    features = _features(derive(spark, d, "postal_squares")).withColumn(
+        "part", F.floor(F.get_json_object("value", "$.properties.postcode").cast("bigint") / 100)
+    )
+    parts = features.groupBy("part").agg(F.array_sort(F.collect_list("value")).alias("features"))
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", "features"), F.lit("]}"))
+    bare = F.lit('{"features":[{"type":"Feature","properties":{"postcode":"99999"},"geometry":null}]}')
+    documents = parts.select(text.alias("value")).unionByName(
+        spark.range(1).select(F.explode(F.array(bare, F.lit('{"features": [{"type":'))).alias("value"))
+    )
+    path = scratch_path(spark, "codes")
+    documents.repartition(F.col("value")).write.option("maxRecordsPerFile", 1).text(path)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    report = ingest.ingest_postal_codes(warehouse, path, AS_OF)
+    stored = warehouse.read(schemas.POSTAL_CODES)
+    return stored.groupBy(F.substring("plz", 1, 3).alias("prefix")).agg(F.count(F.lit(1)).alias("codes")).crossJoin(
+        F.broadcast(_report(report, stored))
+    )
+
+
+def _with_codes(spark: SparkSession, d: str) -> Warehouse:
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    places = _places(spark, d).withColumn("geometry", F.lit(""))
+    warehouse.append(places, schemas.POSTAL_CODES, AS_OF)
+    return warehouse
+
+
+def _station_responses(df: DataFrame) -> str:
+    fields = [
+        _iso(c) if c in ("first_record", "last_record") else F.col(c)
+        for c in df.columns if c not in ("ingested_at", "distance")
+    ]
+    return _land(df, F.struct(F.array(F.struct(*fields)).alias("sources")))
+
+
+@query
+def ingest_stations_job(spark, d):
+    """The landed catalogue, kept where it is near one of the codes with two prefixes; verified on reading back."""
+    warehouse = _with_codes(spark, d)
+    path = _station_responses(transforms.current_stations(_stations(spark, d)))
+    report = ingest.ingest_weather_stations(warehouse, path, AS_OF, ["10", "11"], whole_files=False)
+    stored = warehouse.read(schemas.WEATHER_STATIONS)
+    return stored.select("id", "observation_type", F.round("distance", 2).alias("distance")).crossJoin(
+        F.broadcast(_report(report, stored))
+    )
+
+
+def _with_stations(spark: SparkSession, d: str) -> Warehouse:
+    warehouse = _with_codes(spark, d)
+    warehouse.append(_stations(spark, d), schemas.WEATHER_STATIONS, AS_OF)
+    return warehouse
+
+
+@query
+def ingest_obs_job(spark, d):
+    """Landed current weather of the active stations, with broken responses among it, ingested twice: the second run
+    is a new version of the same readings."""
+    raw = _synop(spark, d)
+    fields = [_iso(c) if c == "timestamp" else F.col(c) for c in raw.columns if c != "ingested_at"]
+    path = _land(raw, F.struct(F.struct(*fields).alias("weather")))
+    spark.range(3).select(F.lit("{ broken").alias("value")).write.mode("append").text(path)
+    warehouse = _with_stations(spark, d)
+    ingest.ingest_observations(warehouse, path, AS_OF, whole_files=False)
+    report = ingest.ingest_observations(warehouse, path, AS_OF + timedelta(hours=1), whole_files=False)
+    table = schemas.OBSERVATIONS_SYNOP
+    current = warehouse.read(table)
+    per_day = current.groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("readings"), F.count_distinct("source_id").alias("stations")
+    )
+    return per_day.crossJoin(F.broadcast(_report(report, warehouse.scan(table))))
+
+
+@query
+def ingest_forecasts_job(spark, d):
+    """Landed forecasts of the stations that reach far enough ahead, a week from the middle of the month."""
+    warehouse = _with_stations(spark, d)
+    report = ingest.ingest_forecasts(
+        warehouse, _land_forecasts(spark, d), MID_MONTH, whole_files=False
+    )
+    stored = warehouse.scan(schemas.FORECASTS)
+    per_day = stored.groupBy(F.to_date("timestamp").alias("day")).agg(
+        F.count(F.lit(1)).alias("forecasts"), F.count_distinct("forecast_created_at").alias("issues")
+    )
+    return per_day.crossJoin(F.broadcast(_report(report, stored)))
+
+
+@query
+def staged_forecasts_saved(spark, d):
+    """The forecast transform as a job on stored tables, run twice; what it returned and what is stored."""
+    warehouse = _with_stations(spark, d)
+    warehouse.append(_forecasts(spark, d), schemas.FORECASTS, AS_OF)
+    first = ingest.transform_forecasts(warehouse, MID_MONTH)
+    second = ingest.transform_forecasts(warehouse, MID_MONTH + timedelta(minutes=10))
+    empty = ingest.transform_forecasts(warehouse, datetime(2030, 1, 1))
+    table = schemas.FORECASTS_BY_POSTAL_CODE
+    return warehouse.read(table).groupBy("plz").agg(F.count(F.lit(1)).alias("hours")).withColumns(
+        {
+            "first": F.lit(first).cast("bigint"), "second": F.lit(second).cast("bigint"),
+            "empty": F.lit(empty).cast("bigint"), "stored": F.lit(warehouse.scan(table).count()).cast("bigint"),
+        }
+    )
+
+
+@query
+def stations_by_range(spark, d):
+    """Stations of overlapping ranges from stored daily sketches; whether each estimate is within three standard errors of the count."""
+    raw = _synop(spark, d)
+    sketches = materialize(monitor.daily_sketches(raw), "sketches")
+    ranges = spark.sql(
+        "SELECT * FROM VALUES ('first week', DATE'2024-01-01', DATE'2024-01-08'), ('month', DATE'2024-01-01', DATE'2024-02-01'), "
+        "('day', DATE'2024-01-10', DATE'2024-01-11'), ('ahead', DATE'2030-01-01', DATE'2030-02-01') AS r(name, start, stop)"
+    )
+    told = monitor.sketch_statistics(sketches, ranges)
+    day = F.to_date("timestamp")
+    exact = raw.join(F.broadcast(ranges), (day >= F.col("start")) & (day < F.col("stop"))).groupBy("name").agg(
+        F.count_distinct("source_id").alias("exact")
+    )
+    error = F.abs(F.col("stations") - F.coalesce("exact", F.lit(0)))
+    bound = F.greatest(F.lit(1.0), F.coalesce("exact", F.lit(0)) * (3 * 1.04 / 2 ** (monitor.SKETCH_BITS / 2)))
+    return told.join(exact, "name", "left").select(
+        "name", "rows", "first_timestamp", "last_timestamp", (error <= bound).alias("within_bound")
+    )
+
+
 # -- landing -----------------------------------------------------------------------------------
 
 
@@ -452,13 +689,8 @@ def _land(df: DataFrame, response: Column) -> str:
 
 @query
 def conform_stations(spark, d):
-    stations = _stations(spark, d)
-    fields = [
-        _iso(c) if c in ("first_record", "last_record") else F.col(c)
-        for c in stations.columns if c not in ("ingested_at", "distance")
-    ]
-    response = F.struct(F.array(F.struct(*fields)).alias("sources"))
-    return landing.read_stations(spark, _land(stations, response), whole_files=False).rows
+    path = _station_responses(_stations(spark, d))
+    return landing.read_stations(spark, path, whole_files=False).rows
 
 
 @query
