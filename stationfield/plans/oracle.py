@@ -552,10 +552,12 @@ ORACLE["delete_readings_by_key"] = _ctes(SYNOP) + (
 )
 _WRITTEN = {
     "raw.postal_codes": "pc", "raw.weather_stations": "all_stations", "raw.weather_observations_synop": "synop",
-    "raw.weather_observations": "synop", "raw.weather_forecasts": "fc",
+    "raw.weather_observations": "synop", "raw.weather_forecasts": "fc", "staging.observations_by_postal_code": "produced",
 }
-ORACLE["typed_rows"] = _ctes(PLACES, STATIONS, SYNOP, FORECASTS) + " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", least(count(*), 40) AS rows, least(count(*), 40) AS returned FROM {_WRITTEN[t]}"
+ORACLE["typed_rows"] = _ctes(
+    PLACES, STATIONS, CURRENT, SYNOP, FORECASTS, _pairs("synop"), _readings("obs"), _PRODUCED
+) + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, count(*) AS returned FROM {_WRITTEN[t]}"
     if t in _WRITTEN else f"SELECT '{t}' AS \"table\", 0 AS rows, 0 AS returned"
     for t in schemas.TABLES
 )
@@ -614,3 +616,7 @@ ORACLE["stations_by_range"] = _ctes(
     "SELECT r.name, count(timestamp) AS rows, min(timestamp) AS first_timestamp, max(timestamp) AS last_timestamp, "
     "TRUE AS within_bound FROM ranges r LEFT JOIN synop ON CAST(timestamp AS DATE) >= start AND CAST(timestamp AS DATE) < stop GROUP BY r.name"
 )
+ORACLE["stream_landed_obs"] = _ctes(STATIONS, CURRENT, SYNOP, LATEST_OBS) + (
+    f"SELECT source_id, timestamp, {_r('temperature', 'temperature')}, condition, CAST(3 AS BIGINT) AS rejected "
+    f"FROM newest WHERE source_id IN (SELECT id FROM st WHERE {_ACTIVE})"
+)

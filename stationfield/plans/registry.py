@@ -505,23 +505,26 @@ def delete_readings_by_key(spark, d):
 
 @query
 def typed_rows(spark, d):
-    """Typed rows, positional and by name, into each of the seven tables: the first rows of the given ones."""
+    """Whole tables of rows without names, their values in the order of the columns, into each of the seven tables."""
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    places = _places(spark, d)
+    pairs = materialize(transforms.station_pairs(places, _stations(spark, d), "synop"), "pairs")
     given = {
-        schemas.POSTAL_CODES: _places(spark, d).withColumn("geometry", F.lit("")),
+        schemas.POSTAL_CODES: places.withColumn("geometry", F.lit("")),
         schemas.WEATHER_STATIONS: _stations(spark, d),
         schemas.OBSERVATIONS_SYNOP: _synop(spark, d),
         schemas.OBSERVATIONS_HOURLY: _hourly(spark, d),
         schemas.FORECASTS: _forecasts(spark, d),
+        schemas.OBSERVATIONS_BY_POSTAL_CODE: transforms.transform(_synop(spark, d), pairs, OBSERVATION, tiebreak=TIEBREAK),
     }
     written = {}
     for table, df in given.items():
-        payload = conform(df, table.payload).orderBy(*table.key).limit(40).collect()
-        written[table.name] = warehouse.append_rows([tuple(r) for r in payload[:20]], table, AS_OF)
-        written[table.name] += warehouse.append_rows([r.asDict() for r in payload[20:]], table, AS_OF)
+        payload = conform(df, table.payload)
+        nameless = payload.toDF(*[f"_{i}" for i in range(len(payload.columns))])
+        written[table.name] = warehouse.append_positional(nameless, table, AS_OF)
     counts = monitor.table_counts(monitor.warehouse_tables(warehouse))
-    told = spark.createDataFrame(list(written.items()), "`table` string, returned bigint")
-    return counts.join(told, "table", "left").select("table", "rows", F.coalesce("returned", F.lit(0)).alias("returned"))
+    returned = F.coalesce(*[F.when(F.col("table") == name, F.lit(n)) for name, n in written.items()], F.lit(0))
+    return counts.select("table", "rows", returned.cast("bigint").alias("returned"))
 
 
 @query
@@ -537,14 +540,15 @@ def schema_check(spark, d):
 # -- ingest jobs -------------------------------------------------------------------------------
 
 
-def _report(report: ingest.Report, stored: DataFrame) -> DataFrame:
+def _report(report: ingest.Report, stored: DataFrame) -> dict[str, Column]:
     """What a job reported beside what its table holds."""
-    rejected = report.rejected.count() if report.rejected is not None else 0
-    return stored.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("ingested_at").alias("versions")).select(
-        F.lit(report.written).cast("bigint").alias("written"),
-        F.lit(report.verified).cast("bigint").alias("verified"),
-        F.lit(rejected).cast("bigint").alias("rejected"), "stored", "versions",
-    )
+    held = stored.agg(F.count(F.lit(1)), F.count_distinct("ingested_at")).first()
+    told = {
+        "written": report.written, "verified": report.verified,
+        "rejected": report.rejected.count() if report.rejected is not None else 0,
+        "stored": held[0], "versions": held[1],
+    }
+    return {k: F.lit(v).cast("bigint") for k, v in told.items()}
 
 
 @query
@@ -565,8 +569,8 @@ def ingest_codes_job(spark, d):
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     report = ingest.ingest_postal_codes(warehouse, path, AS_OF)
     stored = warehouse.read(schemas.POSTAL_CODES)
-    return stored.groupBy(F.substring("plz", 1, 3).alias("prefix")).agg(F.count(F.lit(1)).alias("codes")).crossJoin(
-        F.broadcast(_report(report, stored))
+    return stored.groupBy(F.substring("plz", 1, 3).alias("prefix")).agg(F.count(F.lit(1)).alias("codes")).withColumns(
+        _report(report, stored)
     )
 
 
@@ -592,8 +596,8 @@ def ingest_stations_job(spark, d):
     path = _station_responses(transforms.current_stations(_stations(spark, d)))
     report = ingest.ingest_weather_stations(warehouse, path, AS_OF, ["10", "11"], whole_files=False)
     stored = warehouse.read(schemas.WEATHER_STATIONS)
-    return stored.select("id", "observation_type", F.round("distance", 2).alias("distance")).crossJoin(
-        F.broadcast(_report(report, stored))
+    return stored.select("id", "observation_type", F.round("distance", 2).alias("distance")).withColumns(
+        _report(report, stored)
     )
 
 
@@ -619,7 +623,7 @@ def ingest_obs_job(spark, d):
     per_day = current.groupBy(F.to_date("timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("readings"), F.count_distinct("source_id").alias("stations")
     )
-    return per_day.crossJoin(F.broadcast(_report(report, warehouse.scan(table))))
+    return per_day.withColumns(_report(report, warehouse.scan(table)))
 
 
 @query
@@ -633,7 +637,7 @@ def ingest_forecasts_job(spark, d):
     per_day = stored.groupBy(F.to_date("timestamp").alias("day")).agg(
         F.count(F.lit(1)).alias("forecasts"), F.count_distinct("forecast_created_at").alias("issues")
     )
-    return per_day.crossJoin(F.broadcast(_report(report, stored)))
+    return per_day.withColumns(_report(report, stored))
 
 
 @query
@@ -902,6 +906,33 @@ def stream_fc_by_postal_code(spark, d):
     return rounded(_run(result, "append", ["plz", "timestamp"]))
 
 
+@query
+def stream_landed_obs(spark, d):
+    """Landed responses taken in by bounded batches, broken ones among them; the last batch is then
+    taken in once more, as after a driver that was lost before it could commit."""
+    warehouse = _with_stations(spark, d)
+    table = schemas.OBSERVATIONS_SYNOP
+    newest = versions.latest(_synop(spark, d), table.key, table.version, TIEBREAK)
+    fields = [_iso(c) if c == "timestamp" else F.col(c) for c in newest.columns if c != "ingested_at"]
+    path, progress = _land(newest, F.struct(F.struct(*fields).alias("weather"))), scratch_path(spark, "progress")
+    spark.range(3).select(F.lit("{ broken").alias("value")).coalesce(1).write.mode("append").text(path)
+    ticks = count()
+
+    def run() -> None:
+        hourly.landing_readings(
+            warehouse, path, OBSERVATION, lambda: AS_OF + timedelta(minutes=next(ticks)), progress,
+            whole_files=False, files_per_batch=2,
+        ).start().awaitTermination()
+
+    run()
+    hourly.forget_last_commit(spark, progress)
+    run()
+    rejected = spark.read.json(f"{warehouse.root}/rejected/{table.name}").count()
+    return rounded(
+        warehouse.scan(table).select("source_id", "timestamp", "temperature", "condition", F.lit(rejected).cast("bigint").alias("rejected"))
+    )
+
+
 @query
 def stream_obs_by_postal_code(spark, d):
     """Two scheduled runs of the refresh: the readings, then their late corrections."""

@@ -20,6 +20,7 @@ from stationfield.functions import temporal
 from stationfield.functions.quality import nan_to_null
 from stationfield.operators.conform import conform
 from stationfield.operators.versions import first_seen
+from stationfield.session import materialize
 
 ISSUE = "forecast_created_at"
 
@@ -48,22 +49,33 @@ FORECAST_WIRE = _wire(schemas.FORECASTS.payload, (ISSUE,))
 _FIRST_RECORD = StructType([StructField("first_record", StringType(), True)])
 
 
-def responses(source: DataFrameReader | DataStreamReader, path: str, whole_files: bool) -> DataFrame:
-    """Responses as text with their file, one per file or one per line; batch or stream."""
+def responses(
+    source: DataFrameReader | DataStreamReader, path: str, whole_files: bool,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Responses as text with their file, one per file or one per line; batch or stream, a
+    stream by so many files at a time."""
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
     text = source.text(path, wholetext=whole_files)
     return text.where(F.length(F.trim("value")) > 0).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("record")
     )
 
 
-def _parsed(text: DataFrame, body: list[StructField]) -> tuple[DataFrame, DataFrame]:
-    """Parsed responses (file, record, body columns) and the ones that are not valid JSON."""
+def _parsed(
+    text: DataFrame, body: list[StructField], once: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Parsed responses (file, record, body columns) and the ones that are not valid JSON. Parsed `once`,
+    they are written as typed columns, from which both are read."""
     corrupt = StructField("_corrupt_record", StringType(), True)
     parsed = F.from_json(
         "record", StructType([*body, corrupt]),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
     read = text.select("file", "record", parsed.alias("parsed"))
+    if once:
+        read = materialize(read, "parsed")
     broken = F.col("parsed").isNull() | F.col("parsed._corrupt_record").isNotNull()
     good = read.where(~broken).select("file", "record", *[f"parsed.{f.name}" for f in body])
     return good, read.where(broken).select("file", F.lit("not valid JSON").alias("reason"), "record")
@@ -143,10 +155,14 @@ def read_current_weather(
     return current_weather(responses(spark.read, path, whole_files), stations)
 
 
-def current_weather(text: DataFrame, stations: DataFrame | None = None) -> Landed:
+def current_weather(
+    text: DataFrame, stations: DataFrame | None = None, once: bool = False
+) -> Landed:
     body = [StructField("weather", CURRENT_WIRE, True)]
-    good, broken = _parsed(text, body)
-    told = F.col("weather").isNotNull() & (F.to_json("weather") != "{}")
+    good, broken = _parsed(text, body, once)
+    # One comparison of the parsed record: a test of each field would parse it for each.
+    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CURRENT_WIRE.fields])
+    told = F.col("weather").isNotNull() & ~F.col("weather").eqNullSafe(nothing)
     rows = good.where(told).select("file", "record", "weather.*")
     return parse_readings(rows, broken, schemas.OBSERVATIONS_SYNOP, stations)
 
@@ -173,12 +189,13 @@ def forecasts(
     as_of: datetime,
     days_ahead: int | None = 7,
     stations: DataFrame | None = None,
+    once: bool = False,
 ) -> Landed:
     body = [
         StructField("weather", ArrayType(FORECAST_WIRE), True),
         StructField("sources", ArrayType(_FIRST_RECORD), True),
     ]
-    good, broken = _parsed(text, body)
+    good, broken = _parsed(text, body, once)
     stated = F.get("sources", 0)["first_record"]
     issued = temporal.parse_utc(stated)
     dated = good.withColumn(
