@@ -14,7 +14,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -184,18 +183,22 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: in
     found = stored(pieces(docs, text, doc_id, window, path, with_ids), "pieces")
     n = parts(found.count(), TASK_PIECES)
 
-    def fill(p: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((p["ids_crc32"], p["start"], p["doc_id"].fillna(-1), -p["length"]))
-        p = p.iloc[order]
-        where, offset = best_fit(p["length"].to_numpy(), window)
-        used = np.bincount(where, weights=p["length"].to_numpy()).astype(np.int64)
+    def fill(p: pa.Table) -> pa.Table:
+        # Arrow keeps ids whole beside null ones.
+        doc_id = p["doc_id"].fill_null(np.iinfo(np.int64).min).to_numpy()
+        length = p["length"].to_numpy()
+        order = np.lexsort((p["ids_crc32"].to_numpy(), p["start"].to_numpy(), doc_id, -length))
+        where, offset = best_fit(length[order], window)
+        used = np.bincount(where, weights=length[order]).astype(np.int64)
         padded = np.where(used & (used - 1) == 0, used, window)
-        return p.assign(
-            sequence_id=where + (int(p["part"].iloc[0]) << 32), offset=offset, padded_length=padded[where]
-        ).drop(columns="part")
+        part = p["part"][0].as_py() << 32
+        out = p.drop_columns(["part"]).take(pa.array(order))
+        for name, column in (("sequence_id", where + part), ("offset", offset), ("padded_length", padded[where])):
+            out = out.append_column(name, pa.array(column, pa.int64()))
+        return out
 
     places = found.drop("ids").withColumn("part", F.expr(f"cast(pmod(xxhash64(doc_id, start, ids_crc32), {n}) AS int)"))
-    out = places.groupBy("part").applyInPandas(fill, PIECES + ", sequence_id bigint, offset bigint, padded_length bigint")
+    out = places.groupBy("part").applyInArrow(fill, PIECES + ", sequence_id bigint, offset bigint, padded_length bigint")
     if with_ids:
         key = ["doc_id", "start", "length", "ids_crc32"]
         ids = found.dropDuplicates(key).select(*[F.col(c).alias(f"of_{c}") for c in key], "ids")
