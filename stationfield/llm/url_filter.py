@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from stationfield.llm.common import hot_join, stored
 
-FOREVER = 1_000_000
-
 
 def host_of(url: Column) -> Column:
     """The host in lower case; empty where the URL has none."""
@@ -39,7 +37,8 @@ def keys_of(url: Column) -> Column:
 
 
 def intervals(entries: DataFrame) -> DataFrame:
-    """(key, day, listed) to (key, from_day, to_day): listed from the first day, up to but not on the second.
+    """(key, day, listed) to (key, from_day, to_day): listed from the first day, up to but not on the second, or
+    from then on where that is null. Days may be numbers of any kind, dates or timestamps.
 
     On a day with both kinds of entry the listing counts. Null keys or days are left out.
     """
@@ -47,7 +46,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     order = Window.partitionBy("key").orderBy("day")
     turns = daily.withColumn("was", F.lag("listed").over(order)).where(F.coalesce("was", F.lit(False)) != F.col("listed"))
     return (
-        turns.withColumn("to_day", F.coalesce(F.lead("day").over(order), F.lit(FOREVER)))
+        turns.withColumn("to_day", F.lead("day").over(order))
         .where("listed").select("key", F.col("day").alias("from_day"), "to_day")
     )
 
@@ -63,7 +62,9 @@ def as_of(captures: DataFrame, listed: DataFrame) -> DataFrame:
     asked = captures.select("id", "url", "day", F.explode(keys_of(F.col("url"))).alias("key"))
     questions = asked.where(F.col("day").isNotNull()).groupBy("key", "day").agg(F.count("*").alias("times"))
     questions = stored(questions, "url-questions")
-    answers = questions.join(listed, "key").where((F.col("day") >= F.col("from_day")) & (F.col("day") < F.col("to_day")))
+    answers = questions.join(listed, "key").where(
+        (F.col("day") >= F.col("from_day")) & (F.col("to_day").isNull() | (F.col("day") < F.col("to_day")))
+    )
     answers = answers.select(F.struct("key", "day").alias("question"), "times", F.col("key").alias("active"))
     asked = asked.dropDuplicates(["id", "url", "day", "key"]).withColumn("question", F.struct("key", "day"))
     met = hot_join(asked, stored(answers, "url-answers"), "question", "times", n_rows).where("active IS NOT NULL")
