@@ -22,6 +22,8 @@ from stationfield.llm.common import packed, parts, stored
 #: Items a task packs at once.
 TASK_ITEMS = 50_000
 #: Bins below the last level hold this part of a shard.
+#: Items of the last task for each shard, where that is more.
+ITEMS_PER_SHARD = 8
 FINENESS = 512
 #: Rows numbered in one task.
 SLOT_ROWS = 50_000
@@ -160,20 +162,25 @@ def _level(items: DataFrame, n_items: int, capacity: int) -> DataFrame:
 def shard_groups(groups: DataFrame, n_shards: int) -> DataFrame:
     """(item string, size) to (item, shard).
 
-    All bins of a task but one are at least half full, so a level leaves some thousand bins and
-    one for each task.
+    All bins of a task but one are at least half full, so a level leaves some thousand bins for each
+    shard and one for each task. Where that is still too much for the task that fills the shards, the bins of
+    the next level are twice as large, up to half a shard: of very many shards it takes some items each.
     """
     total, n_items = groups.agg(F.sum("size"), F.count("*")).first()
     maps, items = [], groups
     if n_items > TASK_ITEMS:
         largest = groups.orderBy(F.desc("size")).limit(n_shards).select("size").collect()  # at most n_shards sizes
         _, rest, left = even_share(np.array([r["size"] for r in largest]), total, n_shards)
-        capacity = max(1, rest // (left * FINENESS))
-    while n_items > TASK_ITEMS:
+        capacity, largest_bin = max(1, rest // (left * FINENESS)), max(1, rest // (2 * left))
+    most = max(TASK_ITEMS, ITEMS_PER_SHARD * n_shards)
+    while n_items > most:
         level = stored(_level(items, n_items, capacity), "shard-level")
         maps.append(level.select("item", F.col("bin").cast("string").alias("up")))
         items = level.groupBy(F.col("bin").cast("string").alias("item")).agg(F.sum("size").alias("size"))
-        n_items = items.count()
+        before, n_items = n_items, items.count()
+        if n_items == before and capacity >= largest_bin:
+            break  # only items above half a shard are left
+        capacity = min(2 * capacity, largest_bin)
 
     def last(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("item", ignore_index=True)
@@ -220,8 +227,12 @@ def shard(docs: DataFrame, n_shards: int = 8, text: str = "text") -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 8, text: str = "text") -> None:
-    """The rows of `docs` below `path`, in a folder for each shard."""
-    shard(docs, n_shards, text).select("row.*", F.col("shard").alias("_shard")).write.partitionBy("_shard").parquet(path)
+    """The rows of `docs` below `path`, in a folder `_shard=` for each shard; with more underscores if
+    the table has a column of that name."""
+    name, taken = "_shard", {c.lower() for c in docs.columns}
+    while name in taken:  # a column of the table
+        name = f"_{name}"
+    shard(docs, n_shards, text).select("row.*", F.col("shard").alias(name)).write.partitionBy(name).parquet(path)
 
 
 def assignment(docs: DataFrame, n_shards: int = 8) -> DataFrame:
