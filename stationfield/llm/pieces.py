@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from stationfield.llm.common import ODD, by_batches, mixed, packed, within
 
 SPACE = "▁"
-#: Units a worker remembers before it begins anew.
-MEMORY_UNITS = 300_000
+#: Units a worker remembers in each of two generations: what is met again moves to the younger one.
+MEMORY_UNITS = 150_000
 #: Pairs of pieces it remembers, as a power of two.
 PAIR_BITS = 21
 #: Substrings looked up at a time.
@@ -89,6 +89,7 @@ class Pieces:
         order = np.argsort(keys)
         self._keys, self._ids = keys[order], ids[order]
         self._units: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self._pair_stays = np.zeros(1 << PAIR_BITS, bool)
 
@@ -184,13 +185,16 @@ class Pieces:
 
     def of_units(self, units: list[str]) -> list[tuple[int, ...]]:
         """The ids of distinct units."""
-        known = self._units
-        if len(known) > MEMORY_UNITS:
-            known.clear()
+        if len(self._units) > MEMORY_UNITS:
+            self._older, self._units = self._units, {}
+        known, older = self._units, self._older
         new: dict[int, list[str]] = {}
         for u in units:
             if u not in known:
-                new.setdefault(len(u), []).append(u)
+                if u in older:
+                    known[u] = older[u]
+                else:
+                    new.setdefault(len(u), []).append(u)
         for n, group in new.items():
             step = max(1, AT_ONCE // (n * min(n, self.longest)))
             for a in range(0, len(group), step):
