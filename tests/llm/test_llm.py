@@ -86,6 +86,26 @@ def test_sharding(docs):
     assert shard_of[6] == shard_of[11]
 
 
+@pytest.mark.parametrize("n", [2, 100, 400])
+def test_many_shards_come_to_an_end(spark, monkeypatch, n):
+    monkeypatch.setattr(sharding, "TASK_ITEMS", 50)
+    monkeypatch.setattr(sharding, "ITEMS_PER_SHARD", 2)
+    groups = spark.range(3000).selectExpr("cast(id AS string) AS item", "cast(100 + id % 7 AS bigint) AS size")
+    load = {}
+    for r in sharding.shard_groups(groups, n).join(groups, "item").collect():
+        load[r.shard] = load.get(r.shard, 0) + r["size"]
+    assert len(load) == n and sum(load.values()) == 308_994
+    assert max(load.values()) <= 1.5 * 3000 * 103 / n + 107
+
+
+def test_write_shards(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"text {i % 5}", i) for i in range(20)], "doc_id long, text string, _shard int")
+    sharding.write_shards(df, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == ["doc_id", "text", "_shard", "__shard"]
+    assert sorted((r.doc_id, r.text, r._shard) for r in back.collect()) == [(i, f"text {i % 5}", i) for i in range(20)]
+
+
 def test_best_fit():
     sizes = np.array([5, 5, 4, 3, 3, 2, 2])
     bins = sharding.best_fit_decreasing(sizes, 8)
@@ -128,6 +148,20 @@ def test_levels_of_shards(spark, monkeypatch):
     assert max(r[1] for r in placed) - min(r[1] for r in placed) < 800
 
 
+@pytest.mark.parametrize("days", [(20240101, 20240131), (1704067200, 1706659200), (0, 2_000_000_000)])
+def test_open_entries_have_no_end(spark, days):
+    entries = spark.createDataFrame([("d:a.org", days[0], True), ("p:b.org/x", days[0], True)], "key string, day long, listed boolean")
+    captures = spark.createDataFrame(
+        [(1, "http://a.org/", days[1]), (2, "http://a.org/", days[0] - 1), (3, "https://b.org/x/y", days[1]), (4, "https://b.org/z", days[1])],
+        "id long, url string, day long",
+    )
+    listed = url_filter.intervals(entries)
+    assert {r.id for r in url_filter.as_of(captures, listed).where("blocked").collect()} == {1, 3}
+    assert {r.id for r in url_filter.allowed(captures, listed).collect()} == {2, 4}
+    assert url_filter.as_of(captures, listed.limit(0)).where("blocked").count() == 0
+    assert url_filter.as_of(captures.limit(0), listed).count() == 0
+
+
 def test_url_filter(spark):
     entries = spark.createDataFrame(
         [("d:a.b", 3, True), ("d:a.b", 6, False), ("d:a.b", 6, True), ("d:a.b", 9, False), ("d:x.a.b", 1, True), (None, 1, True), ("d:q.r", None, True)],
@@ -214,6 +248,28 @@ def test_packing(docs):
     assert packing.sequences(docs.limit(3)).count() > 0
 
 
+def test_packing_keeps_ids_whole(spark):
+    rows = [((1 << 60) + 1, "one"), (None, "two words"), (-(1 << 62) - 1, None), ((1 << 53) + 1, LONG)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows}
+
+
+def test_pieces_forget_and_find_again(monkeypatch):
+    pytest.importorskip("sentencepiece")
+    own = pieces.Pieces(pieces.model_path())
+    want = [own.encode([t])[0].tolist() for t in TEXTS]
+    monkeypatch.setattr(pieces, "MEMORY_UNITS", 2)
+    assert [own.encode([t])[0].tolist() for t in TEXTS] == want == [own.encode([t])[0].tolist() for t in TEXTS]
+
+
+def test_encode_and_decode_tables(docs):
+    pytest.importorskip("sentencepiece")
+    coded = pieces.encode(docs)
+    back = pieces.decode(coded.select("row.doc_id", "row.text", "ids"))
+    rows = back.collect()
+    assert len(rows) == docs.count() and all(r.text == r.row.text for r in rows)
+
+
 def test_pieces(docs):
     spm = pytest.importorskip("sentencepiece")
     model = spm.SentencePieceProcessor(model_file=pieces.model_path())
