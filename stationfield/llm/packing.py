@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,12 @@ WINDOW = 2048
 END_ID = 1
 #: Pieces one task packs.
 TASK_PIECES = 50_000
-#: Words a worker remembers before it begins anew.
-MEMORY_WORDS = 400_000
+#: Words a worker remembers in each of two generations.
+MEMORY_WORDS = 200_000
+#: Runs put into one text.
+RUNS_AT_ONCE = 64
+#: Fixed value: how the vocabulary marks the end of a word.
+WORD_END = "</w>"
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,.:;?|]*)")
 
@@ -45,18 +50,41 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._closes[[i for name, i in vocabulary.items() if name.endswith(WORD_END)]] = True
+
+    def _encode_runs(self, runs: list[str]) -> list[tuple[int, ...]]:
+        """Runs of letters or of punctuation, each of which is one word to the tokenizer: many in one
+        text, cut after the ids that end a word."""
+        if not runs:
+            return []
+        texts = [" ".join(runs[a : a + RUNS_AT_ONCE]) for a in range(0, len(runs), RUNS_AT_ONCE)]
+        encoded = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = [i for ids in encoded for i in ids]
+        ends = (np.flatnonzero(self._closes[np.array(flat, np.int64)]) + 1).tolist()
+        if len(ends) != len(runs):  # a run of several words, to this tokenizer
+            return self._encode(runs)
+        return [tuple(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def _encode(self, words: list[str]) -> list[tuple[int, ...]]:
         return [tuple(e.ids) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def of(self, words: list[str]) -> list[tuple[int, ...]]:
         """Letters and the punctuation after them are separate tokens: each is looked up alone."""
-        parsed = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(w)) else (w, "") for w in words]
-        known = self._known
-        if len(known) > MEMORY_WORDS:
-            known.clear()
-        new = list({p for pair in parsed for p in pair if p and p not in known})
-        known.update(zip(new, self._encode(new), strict=True))
+        if len(self._known) > MEMORY_WORDS:
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
+        matched = [_PLAIN.fullmatch(w) for w in words]
+        parsed = [(m[1].lower(), m[2]) if m else (w, "") for w, m in zip(words, matched, strict=True)]
+        runs = {p for pair, m in zip(parsed, matched, strict=True) if m for p in pair if p not in known}
+        others = {pair[0] for pair, m in zip(parsed, matched, strict=True) if not m and pair[0] not in known}
+        for new, encode in ((runs - {""}, self._encode_runs), (others, self._encode)):
+            met = new & older.keys()
+            known.update((p, older[p]) for p in met)
+            fresh = list(new - met)
+            known.update(zip(fresh, encode(fresh), strict=True))
         known[""] = ()
         return [known[a] + known[b] if b else known[a] for a, b in parsed]
 
@@ -74,7 +102,7 @@ def ids_of(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     codes = coded.indices.to_numpy()
     by_word = encoder.of(coded.dictionary.to_pylist())
     lengths = np.fromiter(map(len, by_word), np.int64, len(by_word))
-    flat = np.fromiter((i for w in by_word for i in w), np.uint32, int(lengths.sum()))
+    flat = np.fromiter(chain.from_iterable(by_word), np.uint32, int(lengths.sum()))
     first = np.concatenate([[0], np.cumsum(lengths)])
     each = lengths[codes]
     ends = np.concatenate([[0], np.cumsum(each)])
