@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ SPACE = "▁"
 MEMORY_UNITS = 150_000
 #: Pairs of pieces it remembers, as a power of two.
 PAIR_BITS = 21
+#: Later than any piece is made.
+NEVER = 1 << 40
 #: Substrings looked up at a time.
 AT_ONCE = 2_000_000
 
@@ -65,18 +68,19 @@ class Pieces:
         self.names = [model.id_to_piece(i) for i in range(n)]
         self.scores = np.array([model.get_score(i) for i in range(n)])
         self.byte_id = np.zeros(256, np.int64)
-        self._bytes: list[bytes] = []
+        spelled: list[bytes] = []
         normal = []
         for i, name in enumerate(self.names):
             if model.is_byte(i):
                 value = int(_BYTE.fullmatch(name)[1], 16)
                 self.byte_id[value] = i
-                self._bytes.append(bytes([value]))
+                spelled.append(bytes([value]))
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self._bytes.append(b"")
+                spelled.append(b"")
             else:
-                self._bytes.append(name.replace(SPACE, " ").encode())
+                spelled.append(name.replace(SPACE, " ").encode())
                 normal.append(i)
+        self._spelled = pa.array(spelled, pa.large_binary())
         self.id_of = {self.names[i]: i for i in normal}
         self.longest = max(len(x) for x in self.id_of)
         # all beginnings of pieces, so that a search ends where no piece goes on; -1: not itself one
@@ -92,20 +96,68 @@ class Pieces:
         self._older: dict[str, tuple[int, ...]] = {}
         self._pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self._pair_stays = np.zeros(1 << PAIR_BITS, bool)
+        self._lay_out_merges(normal)
+
+    def _lay_out_merges(self, normal: list[int]) -> None:
+        """When each piece is made (`_made`, by falling score; -1 for a character), of which two
+        (`_left`, `_right`), and all pairs of pieces that make one."""
+        n = len(self.names)
+        when = np.zeros(n, np.int64)
+        when[np.argsort(-self.scores, kind="stable")] = np.arange(n)
+        self._made, self._left, self._right = np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        pairs: dict[int, int] = {}
+        for i in normal:
+            name = self.names[i]
+            if len(name) == 1:
+                continue
+            self._made[i] = when[i]
+            halves = self.merged(name, but=i)
+            if len(halves) == 2:
+                self._left[i], self._right[i] = halves
+            for k in range(1, len(name)):
+                a, b = self.id_of.get(name[:k]), self.id_of.get(name[k:])
+                if a is not None and b is not None:
+                    pairs[a << 20 | b] = int(when[i])
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        order = np.argsort(keys)
+        self._joint = np.append(keys[order], np.iinfo(np.int64).max)
+        self._joint_made = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], NEVER)
 
-    def merged(self, text: str) -> list[int]:
-        """The pieces of a short text by merging the best pair, leftmost first; -1 for none."""
+    def merged(self, text: str, but: int = -1) -> list[int]:
+        """The pieces of a short text by merging the best pair, leftmost first; -1 for none. `but` is not made."""
         parts = list(text)
         while True:
             best, at = None, -1
             for k in range(len(parts) - 1):
                 i = self.id_of.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or self.scores[i] > best):
+                if i is not None and i != but and (best is None or self.scores[i] > best):
                     best, at = self.scores[i], k
             if at < 0:
                 return [self.id_of.get(p, -1) for p in parts]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the text of pieces `a` and `b` ends with these two.
+
+        Merging is followed backwards at the seam: of the two pieces beside it the one made later
+        gives way to its half at the seam. The pieces beside the seam must never be a pair that makes
+        a piece earlier than one of them is used up; of equal times, the left one comes first.
+        """
+        out = np.ones(len(a), bool)
+        left, used = np.arange(len(a)), np.full(len(a), NEVER)
+        while len(left):
+            keys = a << 20 | b
+            at = np.searchsorted(self._joint, keys)
+            together = (self._joint[at] == keys) & (self._joint_made[at] < used)
+            out[left[together]] = False
+            made_a, made_b = self._made[a], self._made[b]
+            on = ~together & ((made_a >= 0) | (made_b >= 0))
+            left, a, b, made_a, made_b = left[on], a[on], b[on], made_a[on], made_b[on]
+            first = made_a > made_b
+            used = np.where(first, made_a, made_b + 1)
+            a, b = np.where(first, self._right[a], a), np.where(first, b, self._left[b])
+        return out
+
     def _stays(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Whether merging leaves piece `after` beside piece `before` (-1: nothing there to merge with).
 
@@ -120,16 +172,10 @@ class Pieces:
         answers = self._pair_stays[slots]
         new = np.flatnonzero(~known)
         if len(new):
-            some, first, inverse = np.unique(keys[new], return_index=True, return_inverse=True)
-            names = self.names
-            fresh = np.empty(len(some), bool)
-            for k, key in enumerate(some.tolist()):
-                a, b = key >> 20, key & ((1 << 20) - 1)
-                fresh[k] = self.merged(names[a] + names[b]) == [a, b]
-            answers[new] = fresh[inverse]
-            # of several new pairs for one slot, key and answer of the same one are kept
-            slot, which = np.unique(slots[new[first]], return_index=True)
-            self._pair_keys[slot], self._pair_stays[slot] = some[which], fresh[which]
+            fresh = self._apart(keys[new] >> 20, keys[new] & ((1 << 20) - 1))
+            answers[new] = fresh
+            # of several pairs for one slot the last is kept, key and answer alike
+            self._pair_keys[slots[new]], self._pair_stays[slots[new]] = keys[new], fresh
         out[both] = answers
         return out
 
@@ -212,16 +258,22 @@ class Pieces:
         codes = coded.indices.to_numpy()
         ids = self.of_units(coded.dictionary.to_pylist())
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
         each = lengths[codes]
         out = flat[np.repeat((np.cumsum(lengths) - lengths)[codes], each) + within(each)]
         return out, np.concatenate([[0], np.cumsum(each)])[np.array(ends)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: bytes that are no UTF-8 become U+FFFD, and the space put first is taken off."""
-        table = self._bytes
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
+        """The texts whose ids lie one after another, from one of `starts` to the next: bytes that are no
+        UTF-8 become U+FFFD, and the space put first is taken off. A null id is no text."""
+        taken = self._spelled.take(pa.array(ids))
+        places = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
+        joined = taken.buffers()[2].to_pybytes() if places[-1] else b""
+        bounds = places[starts].tolist()
+        return [
+            joined[a + 1 if joined[a:b].startswith(b" ") else a : b].decode("utf-8", "replace")
+            for a, b in zip(bounds, bounds[1:], strict=False)
+        ]
 
 
 _models: dict[str, Pieces] = {}
@@ -255,8 +307,10 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_batches(batches, 500):
-            texts = [None if x is None else _model(path).decode(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+            lists = batch.column("ids")
+            texts = _model(path).decode(lists.values, lists.offsets.to_numpy())
+            null = lists.is_null().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string(), mask=null)], ["row", "text"])
 
     return given.mapInArrow(run, f"row {given.schema['row'].dataType.simpleString()}, text string")
 
@@ -274,8 +328,8 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
             ids, starts = model.encode(batch.column("text").to_pylist())
             null = batch.column("text").is_null()
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids), mask=null)
-            texts = [None if x is None else model.decode(x) for x in lists.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "back"])
+            back = pa.array(model.decode(ids, starts), pa.string(), mask=null.to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, back], ["doc_id", "ids", "back"])
 
     back = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>, back string")
     return back.select(
