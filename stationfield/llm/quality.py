@@ -11,6 +11,7 @@ labelled documents; scoring is one pass over all whole texts without a shuffle.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from stationfield.llm.common import by_batches, packed
 
-#: Labelled documents to learn from, and lines such a document may have; longer ones are not used to learn.
+#: Labelled documents to learn from, and lines of each: of a longer one a run of so many lines, its place by hash.
 SAMPLE_DOCS = 2000
 SAMPLE_LINES = 80
 ROUNDS = 120
@@ -191,15 +192,18 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         for batch in batches:
             rows = []
             for i, t, q in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                lines = lines_of(t)
-                if len(lines) <= SAMPLE_LINES:
-                    rows.append((i, q, len(lines), line_features(lines).astype(np.float32).tobytes()))
+                x = line_features(lines_of(t)).astype(np.float32)
+                at = zlib.crc32(str(i).encode()) % max(1, len(x) - SAMPLE_LINES + 1)
+                x = x[at : at + SAMPLE_LINES]
+                rows.append((i, q, len(x), x.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
                 ["doc_id", "quality", "n_lines", "features"],
             )
 
-    rows = given.mapInArrow(featured, "doc_id bigint, quality int, n_lines int, features binary").limit(sample).collect()
+    # ids that repeat may give more rows than the sample has; which stay is decided by their content
+    rows = given.mapInArrow(featured, "doc_id bigint, quality int, n_lines int, features binary")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("features"), "n_lines").limit(sample).collect()
     rows.sort(key=lambda r: (r.doc_id, r.features))
     docs_x = [with_neighbours(np.frombuffer(r.features, np.float32).reshape(r.n_lines, N_LINE).astype(float)) for r in rows]
     return fit(docs_x, [r.quality for r in rows])
