@@ -270,6 +270,32 @@ def test_encode_and_decode_tables(docs):
     assert len(rows) == docs.count() and all(r.text == r.row.text for r in rows)
 
 
+def test_pieces_apart_as_merging_leaves_them():
+    pytest.importorskip("sentencepiece")
+    own = pieces.Pieces(pieces.model_path())
+    rng = np.random.default_rng(5)
+    some = np.array(sorted(own.id_of.values()))
+    short = np.array([i for i in some if len(own.names[i]) <= 3])
+    a = np.concatenate([rng.choice(some, 4000), rng.choice(short, 4000), short[:500]])
+    b = np.concatenate([rng.choice(some, 4000), rng.choice(short, 4000), short[:500]])
+    # and the halves of whole pieces, which never stay apart
+    whole = [(n[:k], n[k:]) for n in own.id_of for k in range(1, len(n)) if n[:k] in own.id_of and n[k:] in own.id_of][::200]
+    a = np.concatenate([a, [own.id_of[x] for x, _ in whole]])
+    b = np.concatenate([b, [own.id_of[y] for _, y in whole]])
+    want = [own.merged(own.names[i] + own.names[k]) == [i, k] for i, k in zip(a.tolist(), b.tolist(), strict=True)]
+    assert own._apart(a, b).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_decode_broken_bytes_and_nulls(spark):
+    pytest.importorskip("sentencepiece")
+    own = pieces.Pieces(pieces.model_path())
+    cut = own.encode(["\U00010348"])[0].tolist()[:-1]  # bytes of a character, the last one missing
+    rows = spark.createDataFrame([(1, None), (2, []), (3, cut), (4, own.encode([" a"])[0].tolist())], "k int, ids array<int>")
+    got = {r.row.k: r.text for r in pieces.decode(rows).collect()}
+    assert got == {1: None, 2: "", 3: "\ufffd", 4: " a"}
+    assert pieces.decode(rows.where("false")).count() == 0
+
+
 def test_pieces(docs):
     spm = pytest.importorskip("sentencepiece")
     model = spm.SentencePieceProcessor(model_file=pieces.model_path())
@@ -279,7 +305,7 @@ def test_pieces(docs):
     for k, t in enumerate(texts):
         mine = ids[starts[k] : starts[k + 1]].tolist()
         assert mine == model.encode(t or ""), t
-        assert own.decode(mine) == (t or "")
+    assert own.decode(ids, starts) == [t or "" for t in texts]
     for r in pieces.round_trip(docs.where("doc_id IS NOT NULL")).collect():
         t = TEXTS[r.doc_id]
         assert r.decoded_sha256 == (None if t is None else hashlib.sha256(t.encode()).hexdigest())
@@ -373,6 +399,24 @@ def test_quality(spark, docs):
     assert quality.keep_good(docs, labels).columns == docs.columns
 
 
+def test_quality_learns_from_long_documents(spark):
+    """Labelled documents above SAMPLE_LINES lines are learned from by a run of their lines."""
+    good = "\n".join(f"The river reached town number {i} late in the evening, and people came to look." for i in range(100))
+    bad = "\n".join("BUY NOW!!! | 100 % FREE | CLICK | CLICK | WIN 999 !!!" for i in range(100))
+    rows = [(i, good if i % 2 else bad) for i in range(60)]
+    d = spark.createDataFrame([*rows, (None, good)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert all(r.predicted == r.doc_id % 2 for r in quality.digest(d, labels).where("doc_id IS NOT NULL").collect())
+
+
+def test_quality_with_repeated_ids_is_the_same_each_time(spark):
+    rows = [(i % 7, f"line {i} of text\n" * (i % 9 + 1) + "!!! | 5 5 5" * (i % 3)) for i in range(90)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    first, again = quality.learn(d.repartition(3), labels, sample=5), quality.learn(d.repartition(5), labels, sample=5)
+    assert np.array_equal(first.weights, again.weights) and np.array_equal(first.steps, again.steps)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
