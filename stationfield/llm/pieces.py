@@ -32,6 +32,8 @@ MEMORY_UNITS = 150_000
 PAIR_BITS = 21
 #: Later than any piece is made.
 NEVER = 1 << 40
+#: Texts encoded or decoded together: units they share are looked up once.
+AT_A_TIME = 1000
 #: Substrings looked up at a time.
 AT_ONCE = 2_000_000
 
@@ -291,7 +293,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None) -> Data
     given = packed(docs, text=F.col(f"`{text}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_batches(batches, 500):
+        for batch in by_batches(batches, AT_A_TIME):
             ids, starts = _model(path).encode(batch.column("text").to_pylist())
             null = batch.column("text").is_null()
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids), mask=null)
@@ -306,7 +308,7 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
     given = packed(rows, ids=F.col(f"`{ids}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_batches(batches, 500):
+        for batch in by_batches(batches, AT_A_TIME):
             lists = batch.column("ids")
             texts = _model(path).decode(lists.values, lists.offsets.to_numpy())
             null = lists.is_null().to_numpy(zero_copy_only=False)
@@ -324,7 +326,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        for batch in by_batches(batches, 500):
+        for batch in by_batches(batches, AT_A_TIME):
             ids, starts = model.encode(batch.column("text").to_pylist())
             null = batch.column("text").is_null()
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids), mask=null)
