@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -124,6 +125,13 @@ def _in_window(raw: DataFrame, spec: Spec, as_of: datetime | None, span: int | N
     return raw.where(temporal.on_the_hour(ts)) if spec.is_forecast else raw
 
 
+def run_profile(
+    raw: DataFrame, spec: Spec, as_of: datetime | None = None, span: int | None = None
+) -> DataFrame:
+    """What `interpolate` wants to know of the readings of a run, written once."""
+    return reading_profile(_in_window(raw, spec, as_of, span))
+
+
 def prepare_readings(
     raw: DataFrame,
     spec: Spec,
@@ -162,13 +170,15 @@ def transform(
     span: int | None = None,
     tiebreak: Sequence[str] | None = None,
     options: Options = DEFAULT_OPTIONS,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Staging rows without the version column, in the staging column order.
 
     Readings of stations near no place are left out in the scan stage where the list of the
-    others is small enough for it.
+    others is small enough for it. `profile` is `run_profile` of the same run.
     """
-    profile = reading_profile(_in_window(raw, spec, as_of, span))
+    if profile is None:
+        profile = run_profile(raw, spec, as_of, span)
     vocabulary = condition_vocabulary(profile)
     near = pairs.select("source_id").distinct()
     if fits(pairs):
@@ -193,6 +203,14 @@ def transform_tables(
     tiebreak: Sequence[str] | None = None,
     options: Options = DEFAULT_OPTIONS,
 ) -> DataFrame:
-    """The whole transform from the three raw tables. The pairs are written once and reread."""
-    pairs = station_pairs(postal_codes, stations, spec.station_type, prefixes, options.radius_km)
-    return transform(raw, materialize(pairs, "pairs"), spec, as_of, span, tiebreak, options)
+    """The whole transform from the three raw tables.
+
+    The pairs and the profile of the readings have nothing in common, so their jobs run beside each
+    other; both are written once and reread.
+    """
+    with ThreadPoolExecutor(1) as beside:
+        profile = beside.submit(run_profile, raw, spec, as_of, span)
+        pairs = materialize(
+            station_pairs(postal_codes, stations, spec.station_type, prefixes, options.radius_km), "pairs"
+        )
+    return transform(raw, pairs, spec, as_of, span, tiebreak, options, profile.result())

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # bound is some 80 MB of raw data; every broadcast in this package is behind `fits`.
 BROADCAST_ROWS = 2_000_000
 
+_run_dirs: set[str] = set()
+
 
 def build_session(app: str = "stationfield", **conf: str) -> SparkSession:
     builder = (
@@ -46,8 +48,22 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one: what it writes in between lies there, and
+    the file system removes it when the driver ends."""
+    context = spark.sparkContext
+    path = f"{shared_dir(spark)}/run-{context.applicationId}"
+    if path not in _run_dirs:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _run_dirs.add(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
