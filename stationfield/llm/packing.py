@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,9 @@ RUNS_AT_ONCE = 64
 #: Fixed value: how the vocabulary marks the end of a word.
 WORD_END = "</w>"
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&*,.:;?|]*)")
+_CLOSING = "!#$%&*,.:;?|"
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_ALL_LETTERS = "".join(filter(re.compile(f"[{_LETTERS}]").match, map(chr, range(256))))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -71,22 +74,53 @@ class WordIds:
     def _encode(self, words: list[str]) -> list[tuple[int, ...]]:
         return [tuple(e.ids) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def of(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Letters and the punctuation after them are separate tokens: each is looked up alone."""
+    def _remembered(self, keys: list[str], encode: Callable[[list[str]], list[tuple[int, ...]]]) -> list[tuple[int, ...]]:
+        """The ids of distinct words, encoded if neither generation knows them."""
+        known, older = self._known, self._older
+        new = [k for k in keys if k not in known]
+        known.update((k, older[k]) for k in new if k in older)
+        fresh = [k for k in new if k not in older]
+        known.update(zip(fresh, encode(fresh), strict=True))
+        return [known[k] for k in keys]
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after another, and how many each has.
+
+        Letters and the punctuation after them are separate tokens: each is looked up alone.
+        """
         if len(self._known) > MEMORY_WORDS:
             self._older, self._known = self._known, {}
-        known, older = self._known, self._older
-        matched = [_PLAIN.fullmatch(w) for w in words]
-        parsed = [(m[1].lower(), m[2]) if m else (w, "") for w, m in zip(words, matched, strict=True)]
-        runs = {p for pair, m in zip(parsed, matched, strict=True) if m for p in pair if p not in known}
-        others = {pair[0] for pair, m in zip(parsed, matched, strict=True) if not m and pair[0] not in known}
-        for new, encode in ((runs - {""}, self._encode_runs), (others, self._encode)):
-            met = new & older.keys()
-            known.update((p, older[p]) for p in met)
-            fresh = list(new - met)
-            known.update(zip(fresh, encode(fresh), strict=True))
-        known[""] = ()
-        return [known[a] + known[b] if b else known[a] for a, b in parsed]
+        self._known[""] = ()
+        plain = pc.match_substring_regex(words, f"^[{_LETTERS}]+[{_CLOSING}]*$")
+        split = words.filter(plain)
+        letters = pc.utf8_lower(pc.utf8_rtrim(split, characters=_CLOSING)).dictionary_encode()
+        marks = pc.utf8_ltrim(split, characters=_ALL_LETTERS).dictionary_encode()
+        found = self._remembered(strings(letters.dictionary), self._encode_runs)
+        n_letters = len(found)
+        found += self._remembered(strings(marks.dictionary), self._encode_runs)
+        n_runs = len(found)
+        found += self._remembered(strings(words.filter(pc.invert(plain))), self._encode)
+        found.append(())
+        # two units a word: letters and marks, or the whole word and nothing
+        plain = plain.to_numpy(zero_copy_only=False)
+        units = np.full((len(words), 2), len(found) - 1, np.int64)
+        units[plain, 0] = letters.indices.to_numpy()
+        units[plain, 1] = n_letters + marks.indices.to_numpy()
+        units[~plain, 0] = np.arange(n_runs, len(found) - 1)
+        of_unit = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(of_unit.sum()))
+        n = of_unit[units]
+        return flat[runs_at((np.cumsum(of_unit) - of_unit)[units.ravel()], n.ravel())], n.sum(axis=1)
+
+
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def runs_at(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each length, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(first - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 _encoders: dict[str, WordIds] = {}
@@ -100,19 +134,13 @@ def ids_of(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     words, bounds = split_words(texts)
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy()
-    by_word = encoder.of(coded.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, by_word), np.int64, len(by_word))
-    flat = np.fromiter(chain.from_iterable(by_word), np.uint32, int(lengths.sum()))
-    first = np.concatenate([[0], np.cumsum(lengths)])
-    each = lengths[codes]
+    flat, lengths = encoder.of(coded.dictionary)
+    flat = np.append(flat, np.uint32(end_id))
+    first = np.cumsum(np.append(lengths, 1)) - np.append(lengths, 1)
+    codes = np.insert(coded.indices.to_numpy(), bounds[1:], len(lengths))  # the closing id as a word
+    each = np.append(lengths, 1)[codes]
     ends = np.concatenate([[0], np.cumsum(each)])
-    n = np.arange(len(bounds))
-    starts = ends[bounds] + n  # of each text, with one closing id for each text before
-    out = np.full(int(starts[-1]), end_id, np.uint32)
-    text_of_word = np.repeat(n[:-1], np.diff(bounds))
-    to = np.repeat(ends[:-1] + text_of_word, each) + within(each)
-    out[to] = flat[np.repeat(first[codes], each) + within(each)]
-    return out, starts
+    return flat[runs_at(first[codes], each)], ends[bounds + np.arange(len(bounds))]
 
 
 class RoomIndex:
