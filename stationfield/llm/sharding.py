@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from stationfield.llm.common import packed, parts, stored
+from stationfield.llm.common import hot_join, packed, parts, stored
 
 #: Items a task packs at once.
 TASK_ITEMS = 50_000
-#: Bins below the last level hold this part of a shard.
 #: Items of the last task for each shard, where that is more.
 ITEMS_PER_SHARD = 8
+#: Bins below the last level hold this part of a shard.
 FINENESS = 512
 #: Rows numbered in one task.
 SLOT_ROWS = 50_000
@@ -221,9 +221,11 @@ def shard(docs: DataFrame, n_shards: int = 8, text: str = "text") -> DataFrame:
     """
     key = F.coalesce(F.sha2(F.col(f"`{text}`"), 256), F.lit("null"))
     rows = packed(docs, group=key, size=F.coalesce(F.octet_length(f"`{text}`"), F.lit(0)).cast("long") + 1)
-    groups = stored(rows.groupBy(F.col("group").alias("item")).agg(F.sum("size").alias("size")), "shard-groups")
-    placed = stored(shard_groups(groups, n_shards), "shard-groups-placed")
-    return rows.join(placed.withColumnRenamed("item", "group"), "group")
+    groups = stored(rows.groupBy(F.col("group").alias("item")).agg(F.sum("size").alias("size"), F.count("*").alias("times")), "shard-groups")
+    placed = shard_groups(groups.drop("times"), n_shards).join(groups.select("item", "times"), "item")
+    placed = stored(placed.withColumnRenamed("item", "group"), "shard-groups-placed")
+    n_rows = groups.agg(F.sum("times")).first()[0] or 0
+    return hot_join(rows, placed, "group", "times", n_rows).drop("times")
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 8, text: str = "text") -> None:
