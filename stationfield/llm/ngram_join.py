@@ -85,11 +85,12 @@ def sketches(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def _memberships(firsts: DataFrame, n_docs: int) -> DataFrame:
+def _memberships(firsts: DataFrame) -> DataFrame:
     """(doc_id, block): a block is named by its smallest document."""
     entries = firsts.select("doc_id", F.size("sketch").alias("n"), F.explode("sketch").alias("token"))
     tokens = stored(entries.groupBy("token").agg(F.min("doc_id").alias("block"), F.count("*").alias("times")).where("times > 1"), "join-tokens")
-    shared = hot_join(entries, tokens, "token", "times", n_docs).where("block IS NOT NULL")
+    n_entries = tokens.agg(F.sum("times")).first()[0] or 0
+    shared = hot_join(entries, tokens, "token", "times", n_entries).where("block IS NOT NULL")
     # at most SKETCH entries each; the most frequent come first. A set smaller than its sketch
     # shares three quarters of its tokens and can spare one less than that.
     mine = shared.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("times", "token", "block")), asc=False).alias("met"))
@@ -279,14 +280,14 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     """
     docs = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = stored(sketches(docs), "join-sketches")
-    n_docs = rows.count()
     joined = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = stored(joined.groupBy("same").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "join-same")
     firsts = joined.join(same.select("same", F.col("first").alias("doc_id")), ["same", "doc_id"]).dropDuplicates(["doc_id", "same"])
-    blocks = stored(_memberships(firsts.select("doc_id", "sketch"), n_docs), "join-blocks")
+    blocks = stored(_memberships(firsts.select("doc_id", "sketch")), "join-blocks")
     links = _links(docs, blocks)
     # a document given with two texts ties both classes together
-    ties = joined.join(same.where("copies > 1"), "same").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    copied = hot_join(joined.select("doc_id", "same"), same.where("copies > 1"), "same", "copies", rows.count())
+    ties = copied.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     labels = components(links.unionByName(ties))
     out = rows.select("doc_id", "n_shingles").join(
         labels.select(F.col("node").alias("doc_id"), F.col("label").alias("component_id")), "doc_id", "left"
