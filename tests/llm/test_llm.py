@@ -10,7 +10,7 @@ from compare import compare, duckdb_views
 from pyspark.sql import functions as F
 
 from stationfield.llm import (
-    exact_dedup, neighbours, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter,
+    common, exact_dedup, neighbours, ngram_join, packing, pieces, quality, secret_scan, sharding, substring_dedup, url_filter,
 )
 from stationfield.llm.components import components
 from stationfield.llm.queries import ORACLE
@@ -347,9 +347,42 @@ def test_ngram_join(spark, docs, monkeypatch, block):
     assert ngram_join.classes(docs).count() == docs.count()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot_part", [1, 10, 1000])
+def test_components(spark, monkeypatch, hot_part):
+    """A chain, and a star whose centre is not its smallest node: with all keys cold, some, and all hot."""
+    monkeypatch.setattr(common, "HOT_PART", hot_part)
     chain = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    assert {r.label for r in components(chain).collect()} == {0}
+    star = spark.range(100, 160).select(F.lit(130).cast("long").alias("a"), F.col("id").alias("b"))
+    got = {r.node: r.label for r in components(chain.unionByName(star)).collect()}
+    assert got == {n: 0 for n in range(41)} | {n: 100 for n in range(100, 160)}
+
+
+@pytest.mark.parametrize("hot_part", [1, 1000])
+def test_copies_of_a_third(spark, monkeypatch, hot_part):
+    """One text in a third of all rows: op2, op8 and op9 with its group hot and cold."""
+    monkeypatch.setattr(common, "HOT_PART", hot_part)
+    texts = [PASSAGE if k % 3 == 0 else f"{k} {LONG[: 40 * k]} {k}" for k in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shards = {r.doc_id: r.shard for r in sharding.assignment(df, 4).collect()}
+    assert len(shards) == 60 and len({shards[k] for k in range(0, 60, 3)}) == 1
+    keep = {i: (k, n) for i, k, n, _, _ in rows_of(exact_dedup.copies(df))}
+    assert keep == {i: (0, 20) if i % 3 == 0 else (i, 1) for i in range(60)}
+    got = {i: (n, c) for i, n, c in rows_of(ngram_join.classes(df))}
+    assert got == brute_classes(texts, range(60))
+
+
+def test_word_ids_are_the_librarys():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = packing.tokenizer_path()
+    tok = tokenizers.Tokenizer.from_file(path)
+    odd = [
+        None, "", "...", "a..", "..a", "A.b", "ÀÉÿ!! ß.., ...", "a’b don't DON'T x!y 12 a1.", "µm ﬁ İstanbul, × ÷ª",
+        "<|endoftext|> a_b é É. e\u0301", "\xa0nbsp　wide\x85next", *TEXTS,
+    ]
+    for texts in (odd, odd[:1], []):
+        ids, starts = packing.ids_of(packing.pa.array(texts, "string"), path)
+        want = [[*tok.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == want
 
 
 def test_neighbours(spark):
