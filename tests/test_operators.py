@@ -369,3 +369,48 @@ def test_forecasts_off_the_hour_do_not_match(spark):
 def test_fits(spark):
     assert fits(spark.range(10), 10)
     assert not fits(spark.range(11), 10)
+
+
+def test_a_reading_goes_to_few_parts_of_a_crowded_degree(spark, monkeypatch):
+    """Blocks are halved where pairs are many, so that places near one another, and with them their stations, share a part."""
+    monkeypatch.setattr(idw, "PAIR_ROWS", 64)
+    spots = [(s, 50.03 + (s // 16) / 16, 10.03 + (s % 16) / 16) for s in range(256)]
+    pairs = materialize(
+        spark.createDataFrame(
+            [(f"{s}-{k}", s, 1.0, lat, lon) for s, lat, lon in spots for k in range(4)],
+            "plz string, source_id bigint, distance_km double, centroid_lat double, centroid_lon double",
+        ),
+        "pairs",
+    )
+    df = spark.createDataFrame([(s, H, float(s), "dry", 1.0) for s in range(256)], READING)
+    sums = idw.station_sums(df, ["value"], ["dry"])
+    joined = idw._block_join(sums, pairs, idw.reading_profile(df))
+    assert joined.count() == 1024
+    assert joined.select(*idw.PART, "source_id", "timestamp").distinct().count() == 256
+    out = {r["plz"]: r["value"] for r in idw.interpolate(df, pairs, ["value"], vocabulary=["dry"]).collect()}
+    assert len(out) == 1024 and all(v == pytest.approx(float(p.split("-")[0])) for p, v in out.items())
+
+
+def test_what_the_pairs_make_is_in_no_aggregate(spark):
+    pairs = pairs_of(spark, [(str(p), s, 1.0 + s) for p in range(20) for s in range(3)])
+    df = spark.createDataFrame([(s, H, 1.0, "dry", 1.0) for s in range(3)], READING)
+    out = idw.interpolate(df, pairs, ["value"], vocabulary=["dry"])
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "Aggregate" not in plan.partition("SortMergeJoin [_block")[0]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_odd_readings_and_pairs(spark, way):
+    """Infinite values reach the places near their station alone, a pair given twice counts twice, a reading without a time stays."""
+    pairs = pairs_of(spark, [("a", 1, 0.0), ("b", 2, 0.9), ("b", 2, 0.9), ("b", 3, 0.9), (None, 3, 1.0)])
+    readings = [
+        (1, H, float("inf"), "dry", 1.0), (2, H, 2.0, "dry", 1.0), (3, H, 5.0, "fog", 1.0), (3, None, 7.0, None, 1.0),
+    ]
+    df = spark.createDataFrame(readings, READING)
+    words = idw.condition_vocabulary(df) if way["counted"] else None
+    out = idw.interpolate(df, pairs, ["value"], 1, Ranges(), words).collect()
+    got = {(r["plz"], r["timestamp"]): (r["value"], r["condition"], r["num_stations"]) for r in out}
+    assert got == {
+        ("a", H): (float("inf"), "dry", 1), ("b", H): (pytest.approx(3.0), "dry", 3), (None, H): (pytest.approx(5.0), "fog", 1),
+        ("b", None): (pytest.approx(7.0), None, 1), (None, None): (pytest.approx(7.0), None, 1),
+    }
