@@ -414,3 +414,37 @@ def test_odd_readings_and_pairs(spark, way):
         ("a", H): (float("inf"), "dry", 1), ("b", H): (pytest.approx(3.0), "dry", 3), (None, H): (pytest.approx(5.0), "fog", 1),
         ("b", None): (pytest.approx(7.0), None, 1), (None, None): (pytest.approx(7.0), None, 1),
     }
+
+
+def test_discovery_makes_no_pairs(spark, monkeypatch):
+    """A cell's stations leave with the first places that found them, whatever the number of places; equal to brute force."""
+    monkeypatch.setattr(radius, "BLOCK", 300)
+    monkeypatch.setattr(radius, "FIRST_PLACES", 4)
+    rng = random.Random(11)
+    p = [(f"{i:05}", 50.0 + rng.uniform(0, 0.3), 10.0 + rng.uniform(0, 0.4)) for i in range(1500)] + [("x", None, 10.0)]
+    s = [(i, rng.choice(["synop", "forecast"]), 49.85 + rng.uniform(0, 0.6), 9.8 + rng.uniform(0, 0.8)) for i in range(200)]
+    places = spark.createDataFrame(p, "plz string, centroid_lat double, centroid_lon double")
+    catalogue = spark.createDataFrame(s, "id bigint, observation_type string, lat double, lon double")
+    found = radius.discover_stations(places, catalogue)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    pairs = radius.radius_join(places, catalogue.withColumnRenamed("id", "source_id"))
+    first = {}
+    for r in pairs.orderBy("plz", ascending=False).collect():
+        first[r["source_id"]] = r["distance_km"] * 1000.0
+    assert {r["id"]: r["distance"] for r in found.collect()} == first and len(first) > 50
+
+
+def test_one_postal_code_pairs_its_own_place_alone(spark, monkeypatch):
+    from stationfield.plans import registry
+
+    asked = []
+    pairs = registry.transforms.station_pairs
+
+    def watched(*given):
+        asked.append(given[3])
+        return pairs(*given)
+
+    monkeypatch.setattr(registry.transforms, "station_pairs", watched)
+    assert registry.QUERIES["one_postal_code"](spark, "/root/testdata/sf0.001").count() == 1
+    assert asked == ["10042"]
