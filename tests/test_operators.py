@@ -448,3 +448,16 @@ def test_one_postal_code_pairs_its_own_place_alone(spark, monkeypatch):
     monkeypatch.setattr(registry.transforms, "station_pairs", watched)
     assert registry.QUERIES["one_postal_code"](spark, "/root/testdata/sf0.001").count() == 1
     assert asked == ["10042"]
+
+
+def test_far_candidates_cost_no_arc(spark):
+    """Sines and cosines are taken of points, not of candidates, and the arc only of those that a product of vectors leaves."""
+    places = spark.createDataFrame([("a", 50.0, 10.0)], "plz string, centroid_lat double, centroid_lon double")
+    stations = spark.createDataFrame([(i, 50.0 + i / 100, 10.0) for i in range(30)], "source_id bigint, lat double, lon double")
+    near = radius.radius_join(places, stations)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    above, joined, below = plan.partition("Join Inner")
+    above += joined + below.partition("\n")[0]
+    assert "SIN(" not in above and above.count("ACOS(") == 2
+    assert {r["source_id"] for r in near.collect()} == set(range(9))
+    assert near.columns == ["plz", "centroid_lat", "centroid_lon", "source_id", "lat", "lon", "distance_km"]
