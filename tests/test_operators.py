@@ -461,3 +461,67 @@ def test_far_candidates_cost_no_arc(spark):
     assert "SIN(" not in above and above.count("ACOS(") == 2
     assert {r["source_id"] for r in near.collect()} == set(range(9))
     assert near.columns == ["plz", "centroid_lat", "centroid_lon", "source_id", "lat", "lon", "distance_km"]
+
+
+def scattered(spark, seed):
+    """Places and stations round a pole, across the antimeridian and close together, some without real coordinates."""
+    import random
+
+    rng = random.Random(seed)
+    spots = [(89.95, 0.0, 180.0), (50.0, 179.99, 0.2), (-10.0, -179.99, 0.2), (51.0, 11.0, 0.3)]
+    p, s = [("none", None, 1.0), ("nan", float("nan"), 1.0)], [(9000, None, 1.0), (9001, 95.0, 1.0)]
+    for k, (lat, lon, wide) in enumerate(spots):
+        p += [(f"{k}-{i}", min(90.0, lat + rng.uniform(-0.2, 0.2)), lon + rng.uniform(-wide, wide)) for i in range(40)]
+        s += [(100 * k + i, min(90.0, lat + rng.uniform(-0.2, 0.2)), lon + rng.uniform(-wide, wide)) for i in range(30)]
+    s += [(500, *s[2][1:]), (501, *s[2][1:])]  # as far from any place as another
+    return (
+        spark.createDataFrame(p, "plz string, centroid_lat double, centroid_lon double"),
+        spark.createDataFrame(s, "source_id bigint, lat double, lon double"),
+    )
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_ground_gives_the_means_and_ranks_of_the_pairs(spark, monkeypatch, small):
+    from stationfield.operators import parts
+
+    if small:
+        for module, name, value in (
+            (radius, "PLACE_ROWS", 4), (radius, "RANKED_PLACES", 3), (idw, "MADE_ROWS", 20), (idw, "SLICE_ROWS", 7),
+            (parts, "GROUND_CELLS", 6), (parts, "OUT_ROWS", 5), (parts, "RANKED_ROWS", 7),
+        ):
+            monkeypatch.setattr(module, name, value)
+    places, stations = scattered(spark, 3)
+    pairs = radius.radius_join(places, stations).select("plz", "source_id", "distance_km", "centroid_lat", "centroid_lon")
+    spot = radius.ground(places, stations)
+    rows = [
+        (i, datetime(2024, 1, 1 + i % 3, i % 5), float(i % 17) if i % 7 else None, ["dry", "fog", None][i % 3])
+        for _, i in zip(range(5000), [r["source_id"] for r in stations.collect()] * 5)
+    ] + [(1, None, 1.0, "dry"), (None, datetime(2024, 1, 1), 1.0, "dry")]
+    df = spark.createDataFrame(rows, "source_id bigint, timestamp timestamp, value double, condition string")
+
+    def table(out):
+        return sorted(
+            (r["plz"], str(r["timestamp"]), r["value"] and round(r["value"], 6), r["condition"], r["num_stations"], r["distinct_stations"])
+            for r in out.collect()
+        )
+
+    for words in (["dry", "fog"], None):
+        got, want = (table(idw.interpolate(df, p, ["value"], 2, vocabulary=words, distinct_stations=True)) for p in (spot, pairs))
+        assert got == want and len(want) > 100
+    ranked = [
+        {(r["plz"], r["source_id"]): r["distance_rank"] for r in out.collect()}
+        for out in (radius.rank_on_ground(spot), radius.rank_by_distance(pairs))
+    ]
+    assert ranked[0] == ranked[1] and len(ranked[0]) > 100
+
+
+@pytest.mark.parametrize("name", ["coverage", "forecast_horizon_refresh", "missing_hours", "nearest_station_rank"])
+def test_pairs_are_neither_written_nor_moved(spark, monkeypatch, name):
+    from stationfield.plans import registry, transforms
+
+    def refused(*_, **__):
+        raise AssertionError("pairs as rows")
+
+    monkeypatch.setattr(transforms, "radius_join", refused)
+    monkeypatch.setattr(radius, "radius_join", refused)
+    assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
