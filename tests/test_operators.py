@@ -525,3 +525,30 @@ def test_pairs_are_neither_written_nor_moved(spark, monkeypatch, name):
     monkeypatch.setattr(transforms, "radius_join", refused)
     monkeypatch.setattr(radius, "radius_join", refused)
     assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+@pytest.mark.parametrize("words", ["few", "many"])
+def test_newest_issue_of_two_runs_is_chosen_where_they_are_made(spark, monkeypatch, words):
+    places, stations = scattered(spark, 5)
+    spot = radius.ground(places, stations)
+    rows = [
+        (s, datetime(2024, 1, 1 + s % 3, h), datetime(2023, 12, 31, (s * h) % 20), float(s + 100 * run), f"w{s if words == 'many' else s % 3}", run)
+        for s in range(130) for h in range(4) for run in (0, 1) if (s + h + run) % 3
+    ]
+    shape = "source_id bigint, timestamp timestamp, forecast_created_at timestamp, temperature double, condition string, run int"
+    raw = spark.createDataFrame(rows, shape)
+    runs = [conform(raw.where(F.col("run") == i), schemas.FORECASTS.schema) for i in (0, 1)]
+    made = [transforms.transform(r, spot, transforms.FORECAST).collect() for r in runs]
+    want = {}
+    for r in [r for run in made for r in run]:
+        key = (r["plz"], r["timestamp"])
+        if key not in want or r["forecast_created_at"] >= want[key]["forecast_created_at"]:
+            want[key] = r
+    out = reads.current_forecast_of_runs(runs, spot)
+    if words == "few":
+        assert "Window [plz" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r["plz"], r["timestamp"]): r for r in out.collect()}
+    assert got.keys() == want.keys() and len(got) > 50
+    assert {k: r["forecast_created_at"] for k, r in got.items()} == {k: r["forecast_created_at"] for k, r in want.items()}
+    if words == "few":
+        assert {k: r["temperature"] for k, r in got.items()} == {k: r["temperature"] for k, r in want.items()}
