@@ -552,3 +552,43 @@ def test_newest_issue_of_two_runs_is_chosen_where_they_are_made(spark, monkeypat
     assert {k: r["forecast_created_at"] for k, r in got.items()} == {k: r["forecast_created_at"] for k, r in want.items()}
     if words == "few":
         assert {k: r["temperature"] for k, r in got.items()} == {k: r["temperature"] for k, r in want.items()}
+
+
+def test_a_place_goes_to_as_few_slices_as_the_tasks_want_unless_rows_are_stored_by_day(spark, monkeypatch):
+    monkeypatch.setattr(idw, "MADE_ROWS", 20)
+    places, stations = scattered(spark, 7)
+    spot = radius.ground(places, stations)
+    rows = [(i % 130, datetime(2024, 1, 1 + i % 20, i % 24), float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "source_id bigint, timestamp timestamp, value double").withColumn("condition", F.lit("dry"))
+    moved, dealt = [], radius.Ground.rows
+    monkeypatch.setattr(radius.Ground, "rows", lambda self, p, s: moved.append((p.count(), s.count())) or dealt(self, p, s))
+
+    def table(**options):
+        out = idw.interpolate(df, spot, ["value"], vocabulary=["dry"], **options)
+        return sorted((r["plz"], str(r["timestamp"]), round(r["value"], 6), r["num_stations"]) for r in out.collect())
+
+    assert table() == table(few_days=True)
+    (few, once), (many, again) = moved
+    assert 4 * few < many and once <= again
+
+
+@pytest.mark.parametrize("wide", [0.0, 0.02, 3.0, 180.0])
+@pytest.mark.parametrize("radius_km", [0.0, 10.0, 500.0, 30000.0])
+def test_arcs_are_those_of_all_pairs_in_range(monkeypatch, wide, radius_km):
+    import numpy as np
+    import pyarrow as pa
+
+    from stationfield.operators import parts
+
+    rng = np.random.default_rng(1)
+    here, there = (
+        parts.Sphere(pa.array(50 + rng.uniform(-wide, wide, n) / 5), pa.array(10 + rng.uniform(-wide, wide, n))) for n in (60, 40)
+    )
+    some, those = np.arange(5, 60), np.arange(0, 40, 2)
+    cosine = np.cos(here.phi[some])[:, None] * np.cos(there.phi[those]) * np.cos(there.lam[those] - here.lam[some][:, None])
+    cosine += np.sin(here.phi[some])[:, None] * np.sin(there.phi[those])
+    want = parts.EARTH_RADIUS_KM * np.arccos(np.clip(cosine, -1.0, 1.0))
+    want[want > radius_km] = np.inf
+    for few in (0.0, 0.3, 2.0):
+        monkeypatch.setattr(parts, "FEW", few)
+        assert np.array_equal(here.apart(some, there, those, radius_km), want)
